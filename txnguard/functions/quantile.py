@@ -19,7 +19,8 @@ def _bin(value: Column) -> Column:
 
 
 def grouped_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """One row per key: ``(key, out)``, the mean of the two middle values. Nulls are skipped.
+    """One row per key: ``(key, out)``, the mean of the two middle values. Null keys and values are
+    skipped.
 
     A built-in median holds every value of a key in one buffer. Here equal values are first
     counted with map-side combine; a small histogram per key tells in which bin the middle
@@ -28,7 +29,7 @@ def grouped_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     the sort by the distinct values in one narrow bin.
     """
     counts = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
         .groupBy(key, value)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bin", _bin(F.col(value)))
