@@ -1,4 +1,4 @@
-"""The data contract as column predicates: each is true where a row breaks it."""
+"""The data contract as SQL predicates: each is true where a row breaks it, never null."""
 
 from __future__ import annotations
 
@@ -20,32 +20,28 @@ NO_OFFSET = "timestamp_without_offset"
 NOT_STRICT = "wrong_json_type"
 
 
-def is_blank(name: str) -> Column:
+def _blank(name: str) -> str:
     """Null or empty. Blanks count as text."""
-    return F.col(name).isNull() | (F.col(name) == "")
+    return f"({name} IS NULL OR {name} = '')"
 
 
-def bad_address(name: str) -> Column:
-    return ~F.coalesce(F.col(name).rlike(UPI_PATTERN), F.lit(False))
+def _bad_address(name: str) -> str:
+    return f"(NOT {_blank(name)} AND NOT {name} RLIKE r'{UPI_PATTERN}')"
 
 
-def bad_amount() -> Column:
-    """Not above zero. NaN sorts above every number in Spark, so it is named."""
-    amount = F.col("amount")
-    return amount.isNull() | F.isnan(amount) | (amount <= 0)
+# NaN sorts above every number in Spark, so it is named.
+_BAD_AMOUNT = "(amount IS NULL OR isnan(amount) OR amount <= 0)"
 
+FIELD_CHECKS: dict[str, str] = {
+    **{MISSING_PREFIX + name: _blank(name) for name in REQUIRED_TEXT},
+    NO_TIME: "timestamp IS NULL",
+    BAD_SENDER: _bad_address("sender_upi"),
+    BAD_RECEIVER: _bad_address("receiver_upi"),
+    BAD_AMOUNT: _BAD_AMOUNT,
+    NO_CATEGORY: f"(receiver_type <=> 'P2M' AND {_blank('receiver_category')})",
+}
 
-def missing_category() -> Column:
-    return F.coalesce(F.col("receiver_type") == "P2M", F.lit(False)) & is_blank("receiver_category")
 
-
-def field_checks() -> list[tuple[str, Column]]:
-    checks = [(MISSING_PREFIX + name, is_blank(name)) for name in REQUIRED_TEXT]
-    return [
-        *checks,
-        (NO_TIME, F.col("timestamp").isNull()),
-        (BAD_SENDER, ~is_blank("sender_upi") & bad_address("sender_upi")),
-        (BAD_RECEIVER, ~is_blank("receiver_upi") & bad_address("receiver_upi")),
-        (BAD_AMOUNT, bad_amount()),
-        (NO_CATEGORY, missing_category()),
-    ]
+def meets_contract() -> Column:
+    """True where no check fails; a conjunction, of which a scan takes over what it can."""
+    return F.expr(" AND ".join(f"NOT {sql}" for sql in FIELD_CHECKS.values()))

@@ -44,10 +44,6 @@ def iso_utc_seconds(df: DataFrame, name: str) -> Column:
     return F.date_format(utc_wall_clock(df, name), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def has_offset(raw: Column) -> Column:
-    return raw.rlike(OFFSET_PATTERN)
-
-
 def window_spec(length_seconds: int, slide_seconds: int) -> tuple[str, str]:
     return f"{length_seconds} seconds", f"{slide_seconds} seconds"
 

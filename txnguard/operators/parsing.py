@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnguard.functions.contract import NO_OFFSET, NOT_STRICT
-from txnguard.functions.time import has_offset
+from txnguard.functions.time import OFFSET_PATTERN
 from txnguard.schema import TXN_FIELDS, TXN_SCHEMA
 
 
@@ -25,36 +26,48 @@ def parse(decoded: DataFrame) -> DataFrame:
 
 
 def flatten(parsed: DataFrame) -> DataFrame:
-    """The payload's own columns; its sender wins over the message key."""
-    return parsed.select("kafka_timestamp", "parsed.*")
+    """The payload's own columns; its sender wins over the message key.
+
+    Unpacked by a generator rather than a projection: a filter on the fields would be
+    merged into a projection, and parse the text anew for every field it looks at.
+    """
+    kept = [c for c in parsed.columns if c in ("kafka_timestamp", RAW_VIOLATIONS)]
+    return parsed.select(*kept, F.inline(F.array("parsed")))
+
+
+RAW_VIOLATIONS = "raw_violations"
+_RAW_KINDS = T.StructType([T.StructField(name, T.VariantType()) for name in TXN_FIELDS])
+_CORRUPT = "_corrupt"
+_TOKENS = {
+    **{name: ["STRING"] for name in TXN_FIELDS},
+    "amount": ["DOUBLE", "BIGINT", "DECIMAL"],
+    "is_fraud": ["BOOLEAN"],
+}
 
 
-def _token_is(variant: Column, name: str, *kinds: str) -> Column:
-    """Absent, null, or a token of one of these kinds."""
-    token = F.try_variant_get(variant, f"$.{name}", "variant")
-    kind = F.schema_of_variant(token)
-    fits = kind.isin("VOID", *kinds)
-    if any(k.startswith("DECIMAL") for k in kinds):
-        fits = fits | kind.startswith("DECIMAL")
-    return token.isNull() | fits
+def _wrong_token(name: str, kinds: list[str]) -> str:
+    kind = f"split(schema_of_variant(raw.{name}), r'\\(')[0]"
+    allowed = ", ".join(f"'{k}'" for k in [*kinds, "VOID"])
+    return f"(raw.{name} IS NOT NULL AND {kind} NOT IN ({allowed}))"
 
 
-def raw_checks(json: Column) -> list[tuple[str, Column]]:
-    """What can only be told from the text: time without offset, coerced types.
+def with_raw_violations(decoded: DataFrame) -> DataFrame:
+    """Adds what can only be told from the text: coerced types, a time without offset.
 
-    A naive time would be taken as session-local, a number as an id, without complaint.
+    A number would be taken as an id, a naive time as session-local, without complaint.
     """
-    variant = F.try_parse_json(json)
-    kinds = {
-        **{name: ("STRING",) for name in TXN_FIELDS},
-        "amount": ("DOUBLE", "BIGINT", "DECIMAL"),
-        "is_fraud": ("BOOLEAN",),
-    }
-    strict = F.lit(True)
-    for name, allowed in kinds.items():
-        strict = strict & F.coalesce(_token_is(variant, name, *allowed), F.lit(False))
-    time_text = F.get_json_object(json, "$.timestamp")
-    return [
-        (NOT_STRICT, variant.isNull() | ~strict),
-        (NO_OFFSET, time_text.isNotNull() & ~has_offset(time_text)),
-    ]
+    schema = T.StructType([*_RAW_KINDS.fields, T.StructField(_CORRUPT, T.StringType())])
+    raw = F.from_json("json", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    wrong = [_wrong_token(name, kinds) for name, kinds in _TOKENS.items()]
+    not_json = f"raw IS NULL OR raw.{_CORRUPT} IS NOT NULL"
+    naive = (
+        "NOT coalesce(try_variant_get(raw.timestamp, '$', 'string') "
+        f"RLIKE r'{OFFSET_PATTERN}', true)"
+    )
+    found = (
+        f"array_compact(array(if({' OR '.join([not_json, *wrong])}, '{NOT_STRICT}', NULL), "
+        f"if({naive}, '{NO_OFFSET}', NULL)))"
+    )
+    return (
+        decoded.withColumn("raw", raw).withColumn(RAW_VIOLATIONS, F.expr(found)).drop("raw")
+    )

@@ -61,15 +61,18 @@ def _value_sets(history: DataFrame, attributes: list[str], listed: list[str]) ->
     sizes = values.groupBy(SENDER, "kind").agg(
         F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("n_txns")
     )
+    # All kinds and n are kept in this branch too, so that both share one exchange.
     rank = F.row_number().over(W.partitionBy(SENDER, "kind").orderBy("value"))
     lists = (
-        values.filter(F.col("kind").isin(listed))
-        .withColumn("rank", rank)
+        values.withColumn("rank", rank)
         .filter(F.col("rank") <= LIST_LIMIT)
         .groupBy(SENDER, "kind")
-        .agg(F.array_sort(F.collect_list("value")).alias("first_values"))
+        .agg(
+            F.array_sort(F.collect_list("value")).alias("first_values"),
+            F.sum("n").alias("listed_txns"),
+        )
     )
-    fits = F.col("distinct_values") <= LIST_LIMIT
+    fits = F.col("n_txns") == F.col("listed_txns")
     both = sizes.join(lists, [SENDER, "kind"], "left").withColumn(
         "listed_values", F.when(fits, F.col("first_values"))
     )

@@ -113,10 +113,9 @@ def parse_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_contract(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = parsing.parse(parsing.decode(broken_messages(spark, folder)))
-    flat = parsed.select("json", "kafka_timestamp", "parsed.*")
-    checked = contract.with_violations(flat, parsing.raw_checks(F.col("json")))
-    return contract.violation_counts(checked)
+    decoded = parsing.with_raw_violations(parsing.decode(broken_messages(spark, folder)))
+    flat = parsing.flatten(parsing.parse(decoded))
+    return contract.violation_counts(contract.with_violations(flat))
 
 
 def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,10 +125,8 @@ def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 def contract_split(spark: SparkSession, folder: str) -> DataFrame:
     checked = contract.with_violations(events.with_defects(transactions(spark, folder)))
-    kept = contract.accepted(checked).withColumn("reasons", F.lit(""))
-    aside = contract.quarantined(checked).withColumn("reasons", F.array_join("violations", ","))
-    columns = ["txn_id", "sender_upi", "amount", "reasons"]
-    return kept.select(columns).unionByName(aside.select(columns))
+    reasons = F.array_join("violations", ",").alias("reasons")
+    return checked.select("txn_id", "sender_upi", "amount", reasons)
 
 
 def txn_lookup(spark: SparkSession, folder: str) -> DataFrame:

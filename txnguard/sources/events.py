@@ -29,57 +29,45 @@ MERCHANTS = 80
 STRANGERS = 1000
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (index % len(values)).cast("int") + 1)
 
-
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
-
-
-def _address(prefix: str, number: Column, width: int, bank: Column) -> Column:
-    return F.concat(
-        F.lit(prefix), _padded(number, width), F.lit("@"), _pick(BANK_HANDLES, bank)
-    )
+def _pick(values: list[str], index: str) -> str:
+    options = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({options}), CAST({index} AS INT) % {len(values)} + 1)"
+
+
+def _address(prefix: str, number: str, width: int, bank: str) -> str:
+    digits = f"lpad(CAST({number} AS STRING), {width}, '0')"
+    return f"concat('{prefix}', {digits}, '@', {_pick(BANK_HANDLES, bank)})"
+
+
+_PAYEE = f"((user_id + 1 + k) % {PAYEES})"
+_USER = "lpad(CAST(user_id AS STRING), 4, '0')"
+_COLUMNS = {
+    "kafka_timestamp": "timestampadd(SECOND, if(k = 95, -10800, CAST(event_id % 7 AS INT)), ts)",
+    "txn_id": "concat('txn-', lpad(CAST(event_id AS STRING), 8, '0'))",
+    "timestamp": "ts",
+    "sender_upi": _address("user", "user_id", 4, "user_id"),
+    "sender_state": _pick(INDIAN_STATES, "(user_id + if(k = 96, 1, 0))"),
+    "sender_device_id": f"if(k >= 97, concat('dev', {_USER}, '_', floor(day(ts) / 8.0)), "
+    f"concat('user', {_USER}, '_', k % (1 + user_id % 3)))",
+    "receiver_upi": f"CASE WHEN k % 5 < 3 THEN "
+    f"{_address('merchant', f'event_id % {MERCHANTS}', 3, 'event_id')} "
+    f"WHEN k >= 90 THEN {_address('stranger', f'event_id % {STRANGERS}', 4, 'event_id')} "
+    f"ELSE {_address('user', _PAYEE, 4, _PAYEE)} END",
+    "receiver_type": "if(k % 5 < 3, 'P2M', 'P2P')",
+    "receiver_category": f"if(k % 5 < 3, {_pick(MERCHANT_CATEGORIES, 'event_id')}, NULL)",
+    "amount": "value",
+    "status": "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'REVERSED' "
+    "ELSE 'SUCCESS' END",
+    "is_fraud": "CAST(NULL AS BOOLEAN)",
+    "fraud_pattern": "CAST(NULL AS STRING)",
+}
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """``kafka_timestamp`` and the twelve transaction fields, labels null."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    user, event = F.col("user_id"), F.col("event_id")
-    is_p2m = k % 5 < 3
-    payee = (user + 1 + k) % PAYEES
-    swapped_device = F.concat(
-        F.lit("dev"), _padded(user, 4), F.lit("_"), F.floor(F.dayofmonth("ts") / 8.0).cast("string")
-    )
-    own_device = F.concat(
-        F.lit("user"), _padded(user, 4), F.lit("_"), (k % (1 + user % 3)).cast("string")
-    )
-    receiver = (
-        F.when(is_p2m, _address("merchant", event % MERCHANTS, 3, event))
-        .when(k >= 90, _address("stranger", event % STRANGERS, 4, event))
-        .otherwise(_address("user", payee, 4, payee))
-    )
-    lag_seconds = F.when(k == 95, -10800).otherwise((event % 7).cast("int"))
-    return events.select(
-        F.timestamp_add("SECOND", lag_seconds, "ts").alias("kafka_timestamp"),
-        F.concat(F.lit("txn-"), _padded(event, 8)).alias("txn_id"),
-        F.col("ts").alias("timestamp"),
-        _address("user", user, 4, user).alias("sender_upi"),
-        _pick(INDIAN_STATES, user + F.when(k == 96, 1).otherwise(0)).alias("sender_state"),
-        F.when(k >= 97, swapped_device).otherwise(own_device).alias("sender_device_id"),
-        receiver.alias("receiver_upi"),
-        F.when(is_p2m, "P2M").otherwise("P2P").alias("receiver_type"),
-        F.when(is_p2m, _pick(MERCHANT_CATEGORIES, event)).alias("receiver_category"),
-        F.col("value").alias("amount"),
-        F.when(F.col("event_type") == "error", "FAILED")
-        .when(F.col("event_type") == "signup", "REVERSED")
-        .otherwise("SUCCESS")
-        .alias("status"),
-        F.lit(None).cast("boolean").alias("is_fraud"),
-        F.lit(None).cast("string").alias("fraud_pattern"),
-    )
+    numbered = events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    return numbered.selectExpr(*[f"{sql} AS {name}" for name, sql in _COLUMNS.items()])
 
 
 def _id_ends(suffix: str) -> Column:
@@ -108,7 +96,7 @@ def with_repeats(txns: DataFrame) -> DataFrame:
 def with_labels(txns: DataFrame) -> DataFrame:
     """Labels for the two shapes the derivation plants: swapped device, moved state."""
     swapped = F.col("sender_device_id").startswith("dev")
-    home = _pick(INDIAN_STATES, F.substring("sender_upi", 5, 4).cast("int"))
+    home = F.expr(_pick(INDIAN_STATES, "substring(sender_upi, 5, 4)"))
     moved = F.col("sender_state") != home
     pattern = F.when(swapped, "unseen_device_drain").when(moved, "location_anomaly")
     return txns.withColumns({"is_fraud": pattern.isNotNull(), "fraud_pattern": pattern}).select(
