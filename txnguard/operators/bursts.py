@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.functions.time import pane, window_spec
-from txnguard.session import broadcast_if_small, materialise
+from txnguard.session import materialise
 
 GROUP = ["sender_upi", "sender_device_id"]
 EXACT_AMOUNT = "decimal(18,2)"
@@ -18,7 +18,9 @@ def crowded(df: DataFrame, length: int, slide: int, min_txns: int) -> DataFrame:
     Counts per slide-long pane are summed over all panes that share a window with a pane. The
     sum bounds every such window from above. This replaces the copying of each row into
     every sliding window by one narrow count, and leaves that copying to the few rows left.
-    Panes of one group are bounded by the time span, not by its rows.
+    Panes of one group are bounded by the time span, not by its rows. The busy panes are
+    written down first, so the planner knows their size: few are broadcast and the rows are
+    not shuffled, many are joined by shuffle.
     """
     reach = length - slide
     panes = df.groupBy(*GROUP, pane("timestamp", slide).alias("pane")).agg(
@@ -29,7 +31,7 @@ def crowded(df: DataFrame, length: int, slide: int, min_txns: int) -> DataFrame:
         f"INTERVAL {reach} SECONDS PRECEDING AND INTERVAL {reach} SECONDS FOLLOWING)"
     )
     busy = panes.withColumn("around", around).filter(F.col("around") >= min_txns)
-    busy = broadcast_if_small(materialise(busy.select(*GROUP, "pane")))
+    busy = materialise(busy.select(*GROUP, "pane"))
     keyed = df.withColumn("pane", pane("timestamp", slide))
     return keyed.join(busy, [*GROUP, "pane"], "left_semi").drop("pane")
 

@@ -101,7 +101,8 @@ def rule_profile(history: DataFrame) -> DataFrame:
     """The part of the profile the rules look at; payees, the widest part, stay out."""
     spend = grouped_median(history, SENDER, "amount", "typical_spend")
     sets = _value_sets(history, [DEVICE, STATE], [DEVICE, STATE])
-    return spend.join(sets.select(SENDER, "devices", "states"), SENDER)
+    # A left join, which the optimizer drops where no list is used; both have all senders.
+    return spend.join(sets.select(SENDER, "devices", "states"), SENDER, "left")
 
 
 def enrich(txns: DataFrame, profile: DataFrame, spend_floor: float) -> DataFrame:

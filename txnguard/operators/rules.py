@@ -43,13 +43,18 @@ def _alerts(df: DataFrame, reason: str) -> DataFrame:
     ).select(ALERT_FIELDS)
 
 
-def _not_in_history(df: DataFrame, attribute: str, listed: str, seen: DataFrame) -> DataFrame:
+def _not_in_history(
+    df: DataFrame, attribute: str, listed: str, seen: DataFrame | None
+) -> DataFrame:
     """Rows of senders with a profile whose attribute is new to them.
 
     The list in the profile answers where it is kept. Senders with too many values for a
-    list are answered by an anti-join with the distinct pairs.
+    list are answered by an anti-join with the distinct pairs ``seen``; it may be left out
+    if there are no such senders.
     """
     by_list = df.filter(F.col(listed).isNotNull() & ~F.array_contains(listed, F.col(attribute)))
+    if seen is None:
+        return by_list
     long_list = df.filter(F.col("typical_spend").isNotNull() & F.col(listed).isNull())
     return by_list.unionByName(long_list.join(seen, [SENDER, attribute], "left_anti"))
 
@@ -69,7 +74,7 @@ def amount_anomaly(enriched: DataFrame, p: RuleParams) -> DataFrame:
     return _alerts(enriched.filter(F.col("ratio") >= p.amount_ratio), AMOUNT)
 
 
-def location(enriched: DataFrame, seen_states: DataFrame) -> DataFrame:
+def location(enriched: DataFrame, seen_states: DataFrame | None) -> DataFrame:
     """A state the sender has not paid from before."""
     return _alerts(_not_in_history(enriched, STATE, "states", seen_states), LOCATION)
 
@@ -104,7 +109,9 @@ def rapid_fire(txns: DataFrame, p: RuleParams) -> DataFrame:
     return burst_alerts(near, burst_windows(near, p), p)
 
 
-def drain_candidates(enriched: DataFrame, seen_devices: DataFrame, p: RuleParams) -> DataFrame:
+def drain_candidates(
+    enriched: DataFrame, seen_devices: DataFrame | None, p: RuleParams
+) -> DataFrame:
     rows = enriched.filter(_settled_transfers() & (F.col("ratio") >= p.drain_ratio))
     return _not_in_history(rows, DEVICE, "devices", seen_devices)
 
@@ -117,9 +124,14 @@ def drain_alerts(candidates: DataFrame, hits: DataFrame, p: RuleParams) -> DataF
     return _alerts(bursts.members(candidates, hits, p.drain_slide_seconds), DEVICE_DRAIN)
 
 
-def unseen_device_drain(enriched: DataFrame, seen_devices: DataFrame, p: RuleParams) -> DataFrame:
-    """Several high transfers within a window, from a device new to the sender."""
-    candidates = materialise(drain_candidates(enriched, seen_devices, p))
+def unseen_device_drain(
+    enriched: DataFrame, seen_devices: DataFrame | None, p: RuleParams
+) -> DataFrame:
+    """Several high transfers within a window, from a device new to the sender.
+
+    Reads its input twice, for the windows and for their rows: give it a stored frame.
+    """
+    candidates = drain_candidates(enriched, seen_devices, p)
     return drain_alerts(candidates, drain_windows(candidates, p), p)
 
 

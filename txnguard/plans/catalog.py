@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from txnguard.functions import text
 from txnguard.functions.time import iso_ist, iso_utc_seconds, utc_wall_clock
 from txnguard.operators import alerts, contract, parsing, profile, reports, rules
-from txnguard.plans.detection import detect, detect_for_sender
+from txnguard.plans.detection import Suspects, detect, detect_for_sender, find_suspects
 from txnguard.schema import RuleParams
 from txnguard.sources import events
 from txnguard.sources.tables import read_table
@@ -244,9 +244,13 @@ def rule_odd_hour(spark: SparkSession, folder: str) -> DataFrame:
     return rules.odd_hour(_enriched(spark, folder), LOG_PARAMS)
 
 
+def _suspects(spark: SparkSession, folder: str) -> Suspects:
+    return find_suspects(current(spark, folder), history(spark, folder), LOG_PARAMS)
+
+
 def rule_location(spark: SparkSession, folder: str) -> DataFrame:
-    seen = profile.seen_pairs(history(spark, folder), profile.STATE)
-    return rules.location(_enriched(spark, folder), seen)
+    found = _suspects(spark, folder)
+    return rules.location(found.rows, found.seen_states)
 
 
 def rule_rapid_fire(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,8 +258,8 @@ def rule_rapid_fire(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_unseen_device(spark: SparkSession, folder: str) -> DataFrame:
-    seen = profile.seen_pairs(history(spark, folder), profile.DEVICE)
-    return rules.unseen_device_drain(_enriched(spark, folder), seen, LOG_PARAMS)
+    found = _suspects(spark, folder)
+    return rules.unseen_device_drain(found.rows, found.seen_devices, LOG_PARAMS)
 
 
 def alerts_all(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from txnguard.operators import alerts, profile, rules
@@ -9,23 +11,45 @@ from txnguard.schema import RuleParams
 from txnguard.session import materialise
 
 
+@dataclass(frozen=True)
+class Suspects:
+    """Suspicious transactions with their profile, and what senders were seen with.
+
+    The pairs are only there if some suspect's sender has too many values for a list.
+    """
+
+    rows: DataFrame
+    seen_devices: DataFrame | None
+    seen_states: DataFrame | None
+
+
+def find_suspects(txns: DataFrame, history: DataFrame, p: RuleParams) -> Suspects:
+    """One join by sender over all traffic; the small rest is written down for the rules."""
+    enriched = profile.enrich(txns, profile.rule_profile(history), p.spend_floor)
+    rows = materialise(rules.suspects(enriched, p))
+    unlisted = rows.filter("typical_spend IS NOT NULL AND (devices IS NULL OR states IS NULL)")
+    if unlisted.isEmpty():
+        return Suspects(rows, None, None)
+    return Suspects(
+        rows,
+        profile.seen_pairs(history, profile.DEVICE),
+        profile.seen_pairs(history, profile.STATE),
+    )
+
+
 def detect(txns: DataFrame, history: DataFrame, p: RuleParams) -> DataFrame:
     """Alerts of all rules, one row per transaction and rule.
 
-    Transactions meet the profile in one join by sender. What comes out suspicious is
-    written down once and feeds four rules; bursts need no profile and read transactions.
+    Bursts need no profile and look at transactions, the other rules at suspects.
     """
-    enriched = profile.enrich(txns, profile.rule_profile(history), p.spend_floor)
-    suspects = materialise(rules.suspects(enriched, p))
-    seen_devices = profile.seen_pairs(history, profile.DEVICE)
-    seen_states = profile.seen_pairs(history, profile.STATE)
+    found = find_suspects(txns, history, p)
     return alerts.union_alerts(
         [
-            rules.unseen_device_drain(suspects, seen_devices, p),
+            rules.unseen_device_drain(found.rows, found.seen_devices, p),
             rules.rapid_fire(txns, p),
-            rules.amount_anomaly(suspects, p),
-            rules.odd_hour(suspects, p),
-            rules.location(suspects, seen_states),
+            rules.amount_anomaly(found.rows, p),
+            rules.odd_hour(found.rows, p),
+            rules.location(found.rows, found.seen_states),
         ]
     )
 

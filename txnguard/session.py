@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "txnguard", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,7 +24,6 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution."
         "streaming.state.RocksDBStateStoreProvider",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)
@@ -33,37 +34,31 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary one, removed at exit.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="txnguard-checkpoint-")
-    context.setCheckpointDir(shared)
+        folder = tempfile.mkdtemp(prefix="txnguard-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared checkpoint folder.
+    """Compute ``df`` once, as a table in the shared folder.
 
     For a small intermediate that several branches read: without it each branch repeats
-    the scan and join beneath. The copy is on reliable storage, so it outlives executors.
-    """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-# 500k narrow key rows are some tens of MB in memory: safe to send to every executor.
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a *materialised* frame for broadcast if its counted size is under the limit.
-
-    Beyond the limit it is returned as it is, and the planner shuffles.
+    the scan and joins beneath. The copy outlives executors, and its size in files is what
+    the planner goes by when it decides whether to broadcast it.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
