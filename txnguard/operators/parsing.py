@@ -10,6 +10,19 @@ from txnguard.functions.contract import NO_OFFSET, NOT_STRICT
 from txnguard.functions.time import OFFSET_PATTERN
 from txnguard.schema import TXN_FIELDS, TXN_SCHEMA
 
+RAW_VIOLATIONS = "raw_violations"
+_CORRUPT = "_corrupt"
+
+# The time is read as text first: whether it has an offset can only be seen there.
+_WIRE_SCHEMA = T.StructType(
+    [
+        T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType)
+        for f in TXN_SCHEMA.fields
+    ]
+    + [T.StructField(_CORRUPT, T.StringType())]
+)
+_TEXT_FIELDS = [f.name for f in _WIRE_SCHEMA.fields[:-1] if f.dataType == T.StringType()]
+
 
 def decode(messages: DataFrame) -> DataFrame:
     """Binary key and value as text, with the ingestion time of the topic."""
@@ -22,7 +35,8 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def parse(decoded: DataFrame) -> DataFrame:
     """JSON to a struct. Missing fields are null, unknown ones dropped, broken text all null."""
-    return decoded.withColumn("parsed", F.from_json("json", TXN_SCHEMA))
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+    return decoded.withColumn("parsed", F.from_json("json", _WIRE_SCHEMA, options))
 
 
 def flatten(parsed: DataFrame) -> DataFrame:
@@ -32,42 +46,43 @@ def flatten(parsed: DataFrame) -> DataFrame:
     merged into a projection, and parse the text anew for every field it looks at.
     """
     kept = [c for c in parsed.columns if c in ("kafka_timestamp", RAW_VIOLATIONS)]
-    return parsed.select(*kept, F.inline(F.array("parsed")))
-
+    rows = parsed.select(*kept, F.inline(F.array("parsed")))
+    fields = [
+        F.col(name).try_cast("timestamp").alias(name) if name == "timestamp" else F.col(name)
+        for name in TXN_FIELDS
+    ]
+    return rows.select(*kept, *fields)
 
-RAW_VIOLATIONS = "raw_violations"
-_RAW_KINDS = T.StructType([T.StructField(name, T.VariantType()) for name in TXN_FIELDS])
-_CORRUPT = "_corrupt"
-_TOKENS = {
-    **{name: ["STRING"] for name in TXN_FIELDS},
-    "amount": ["DOUBLE", "BIGINT", "DECIMAL"],
-    "is_fraud": ["BOOLEAN"],
-}
 
+def _number_in_text_field() -> str:
+    """A field that has to be text, but is written as something else.
 
-def _wrong_token(name: str, kinds: list[str]) -> str:
-    kind = f"split(schema_of_variant(raw.{name}), r'\\(')[0]"
-    allowed = ", ".join(f"'{k}'" for k in [*kinds, "VOID"])
-    return f"(raw.{name} IS NOT NULL AND {kind} NOT IN ({allowed}))"
+    One look at the text clears nearly all messages. The others are read again with the
+    type of every token kept, as the look may have hit something nested or quoted.
+    """
+    names = "|".join(_TEXT_FIELDS)
+    look = rf"""json RLIKE r'"({names})"\s*:\s*[^"n\s]'"""
+    listed = ", ".join(f"'{name}'" for name in _TEXT_FIELDS)
+    exact = (
+        "exists(map_entries(from_json(json, 'map<string, variant>')), e -> "
+        f"e.key IN ({listed}) AND e.value IS NOT NULL "
+        "AND schema_of_variant(e.value) NOT IN ('STRING', 'VOID'))"
+    )
+    return f"({look} AND coalesce({exact}, true))"
 
 
-def with_raw_violations(decoded: DataFrame) -> DataFrame:
+def with_raw_violations(parsed: DataFrame) -> DataFrame:
     """Adds what can only be told from the text: coerced types, a time without offset.
 
     A number would be taken as an id, a naive time as session-local, without complaint.
     """
-    schema = T.StructType([*_RAW_KINDS.fields, T.StructField(_CORRUPT, T.StringType())])
-    raw = F.from_json("json", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    wrong = [_wrong_token(name, kinds) for name, kinds in _TOKENS.items()]
-    not_json = f"raw IS NULL OR raw.{_CORRUPT} IS NOT NULL"
-    naive = (
-        "NOT coalesce(try_variant_get(raw.timestamp, '$', 'string') "
-        f"RLIKE r'{OFFSET_PATTERN}', true)"
+    not_strict = (
+        f"json IS NULL OR parsed IS NULL OR parsed.{_CORRUPT} IS NOT NULL "
+        f"OR {_number_in_text_field()}"
     )
+    naive = f"NOT coalesce(parsed.timestamp RLIKE r'{OFFSET_PATTERN}', true)"
     found = (
-        f"array_compact(array(if({' OR '.join([not_json, *wrong])}, '{NOT_STRICT}', NULL), "
+        f"array_compact(array(if({not_strict}, '{NOT_STRICT}', NULL), "
         f"if({naive}, '{NO_OFFSET}', NULL)))"
     )
-    return (
-        decoded.withColumn("raw", raw).withColumn(RAW_VIOLATIONS, F.expr(found)).drop("raw")
-    )
+    return parsed.withColumn(RAW_VIOLATIONS, F.expr(found))

@@ -113,8 +113,8 @@ def parse_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_contract(spark: SparkSession, folder: str) -> DataFrame:
-    decoded = parsing.with_raw_violations(parsing.decode(broken_messages(spark, folder)))
-    flat = parsing.flatten(parsing.parse(decoded))
+    parsed = parsing.parse(parsing.decode(broken_messages(spark, folder)))
+    flat = parsing.flatten(parsing.with_raw_violations(parsed))
     return contract.violation_counts(contract.with_violations(flat))
 
 

@@ -27,9 +27,8 @@ SILVER_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(EVENT_DATE, T
 
 def bronze_rows(messages: DataFrame) -> DataFrame:
     """Messages as typed rows with their violations; batch or stream."""
-    decoded = parsing.with_raw_violations(parsing.decode(messages))
-    flat = parsing.flatten(parsing.parse(decoded))
-    checked = contract.with_violations(flat)
+    parsed = parsing.with_raw_violations(parsing.parse(parsing.decode(messages)))
+    checked = contract.with_violations(parsing.flatten(parsed))
     return checked.withColumn("arrival_date", F.to_date("kafka_timestamp"))
 
 
