@@ -85,6 +85,17 @@ def test_id_from_json(spark):
     assert found == cases
 
 
+def test_random_ids_differ(spark):
+    ids = spark.range(100).select(text.random_id().alias("id"))
+    assert ids.distinct().count() == 100
+
+
+def test_amount_beyond_exact_sums_does_not_fail_the_job(spark):
+    rows = [txn(txn_id="a", amount=1e17), txn(txn_id="b", amount=2.0)]
+    (stats,) = reports.sender_window_stats(frame(spark, rows), 60, 60).collect()
+    assert stats.txn_count == 2 and float(stats.total_amount) == 2.0
+
+
 def test_trailing_sums_across_chunks(spark):
     rows = [
         txn(txn_id=f"t{i}", timestamp=NOON + timedelta(seconds=37 * i), amount=float(i + 1),

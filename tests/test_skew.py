@@ -71,6 +71,21 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("key", ["txn_enriched", "unseen_device_txn", "known_device_txn"])
+def test_hot_join_partition_is_split(cluster_like, folder, key):
+    small_reads = {"spark.sql.files.maxPartitionBytes": "40KB",
+                   "spark.sql.files.openCostInBytes": "1KB"}
+    for name, value in small_reads.items():
+        cluster_like.conf.set(name, value)
+    try:
+        df = catalog.QUERIES[key](cluster_like, folder)
+        df.collect()
+        assert "skew=true" in plan_of(df)
+    finally:
+        for name in small_reads:
+            cluster_like.conf.unset(name)
+
+
 def test_copies_of_one_row_are_reduced_before_the_shuffle(spark, folder):
     copies = catalog.transactions(spark, folder)
     plan = plan_of(reports.first_of_each_id(copies))

@@ -183,6 +183,37 @@ def test_restart_and_replay_add_nothing(spark, lake):
     assert after == before
 
 
+class FailingOnce(AlertTable):
+    """Dies after its first write, before the batch is committed."""
+
+    failed = False
+
+    def write_batch(self, found, batch_id):
+        super().write_batch(found, batch_id)
+        if not FailingOnce.failed:
+            FailingOnce.failed = True
+            raise RuntimeError("executor of the sink is gone")
+
+
+def test_crash_between_write_and_commit_loses_and_repeats_nothing(spark, lake):
+    lake.silver_from(*fraud_day(), FLUSH, FLUSH_AGAIN)
+    known = known_from(spark, fraud_history())
+    stream = stream_table(spark, lake.at("silver"), ingest.SILVER_SCHEMA, max_files_per_trigger=2)
+    writer = alert_writer(
+        spark, stream, lake.at("silver"), known, RuleParams(),
+        FailingOnce(spark, lake.at("alerts")), lake.at("cp_alerts"),
+    )
+    query = writer.trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="gone"):
+        query.awaitTermination()
+    assert "gone" in monitor.health(query)["exception"]
+    table, _ = lake.detect(known)
+    found = [r.txn_id for r in table.read().collect()]
+    assert sorted(found) == sorted(
+        [f"b{i}" for i in range(8)] + [f"d{i}" for i in range(4)] + ["big", "moved"]
+    )
+
+
 def test_same_batch_written_again_leaves_the_table(spark, tmp_path):
     rows = detect(
         frame(spark, burst(8)), frame(spark, history()), RuleParams()

@@ -51,3 +51,8 @@ def id_from_json(raw: Column) -> Column:
     return F.when(renamed, F.get_json_object(raw, "$.transaction_id")).otherwise(
         F.get_json_object(raw, "$.txn_id")
     )
+
+
+def random_id() -> Column:
+    """A new id per row, as senders give their transactions. Differs on every evaluation."""
+    return F.uuid()

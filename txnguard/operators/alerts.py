@@ -36,7 +36,7 @@ def not_in(alerts: DataFrame, stored: DataFrame) -> DataFrame:
 
 def retract(alerts: DataFrame, keys: DataFrame) -> DataFrame:
     """All alerts but those of the given transactions."""
-    return alerts.join(keys.select("txn_id"), "txn_id", "left_anti")
+    return alerts.join(keys.select("txn_id").distinct(), "txn_id", "left_anti")
 
 
 def latest(alerts: DataFrame, n: int) -> DataFrame:

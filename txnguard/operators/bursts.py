@@ -9,6 +9,8 @@ from txnguard.functions.time import pane, window_spec
 from txnguard.session import materialise
 
 GROUP = ["sender_upi", "sender_device_id"]
+# Sums in decimals do not depend on the order of rows. Sixteen digits before the point; an
+# amount beyond is left out of the sums rather than failing the job.
 EXACT_AMOUNT = "decimal(18,2)"
 
 
@@ -45,7 +47,7 @@ def windows(
     of payees is ever built, and a hot sender is spread over tasks by payee.
     """
     sliding = F.window("timestamp", *window_spec(length, slide))
-    amount = F.col("amount").cast(EXACT_AMOUNT)
+    amount = F.col("amount").try_cast(EXACT_AMOUNT)
     if min_payees <= 1:
         found = df.groupBy(sliding.alias("window"), *GROUP).agg(
             F.count(F.lit(1)).alias("txn_count"), F.sum(amount).alias("total_amount")
@@ -89,10 +91,12 @@ def members(df: DataFrame, hits: DataFrame, slide: int) -> DataFrame:
     """The transactions inside the windows found, each once, with its earliest window.
 
     All rows of a pane lie in the same windows, so the earliest is looked up per pane and
-    joined on equality.
+    joined on equality. The look-up table is stored first, so that the join can be a
+    broadcast by its real size, or else split a hot pane.
     """
+    first = materialise(_earliest_per_pane(hits, slide))
     keyed = df.withColumn("pane", pane("timestamp", slide))
-    return keyed.join(_earliest_per_pane(hits, slide), [*GROUP, "pane"]).drop("pane")
+    return keyed.join(first, [*GROUP, "pane"]).drop("pane")
 
 
 def near_windows(df: DataFrame, hits: DataFrame, slide: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from txnguard.functions.quantile import grouped_median
+from txnguard.session import materialise
 
 SENDER = "sender_upi"
 DEVICE = "sender_device_id"
@@ -37,13 +38,24 @@ def seen_pairs(history: DataFrame, attribute: str) -> DataFrame:
     return history.select(SENDER, attribute).distinct()
 
 
+def stored_pairs(history: DataFrame, attribute: str) -> DataFrame:
+    """The distinct pairs as a table, ready to be joined with traffic.
+
+    Joined straight from their aggregation they would be partitioned already, and then AQE
+    leaves the other side's hot partitions whole: it splits only where both inputs of the
+    join come out of a shuffle of its own. From a table they do, or are broadcast if the
+    files are small.
+    """
+    return materialise(seen_pairs(history, attribute))
+
+
 def unseen(txns: DataFrame, history: DataFrame, attribute: str) -> DataFrame:
     """Transactions whose attribute the sender has not shown before; all, without history."""
-    return txns.join(seen_pairs(history, attribute), [SENDER, attribute], "left_anti")
+    return txns.join(stored_pairs(history, attribute), [SENDER, attribute], "left_anti")
 
 
 def seen_before(txns: DataFrame, history: DataFrame, attribute: str) -> DataFrame:
-    return txns.join(seen_pairs(history, attribute), [SENDER, attribute], "left_semi")
+    return txns.join(stored_pairs(history, attribute), [SENDER, attribute], "left_semi")
 
 
 def _value_sets(history: DataFrame, attributes: list[str], listed: list[str]) -> DataFrame:
@@ -98,7 +110,10 @@ def sender_profile(history: DataFrame) -> DataFrame:
 
 
 def rule_profile(history: DataFrame) -> DataFrame:
-    """The part of the profile the rules look at; payees, the widest part, stay out."""
+    """The part of the profile the rules look at; payees, the widest part, stay out.
+
+    Store it before joining it with traffic, as for ``stored_pairs``.
+    """
     spend = grouped_median(history, SENDER, "amount", "typical_spend")
     sets = _value_sets(history, [DEVICE, STATE], [DEVICE, STATE])
     # A left join, which the optimizer drops where no list is used; both have all senders.
@@ -108,8 +123,8 @@ def rule_profile(history: DataFrame) -> DataFrame:
 def enrich(txns: DataFrame, profile: DataFrame, spend_floor: float) -> DataFrame:
     """Adds the profile and ``ratio``, the amount in units of the sender's typical spend.
 
-    A plain left join: the planner broadcasts the profile while it is small and shuffles
-    by sender beyond, where AQE splits the partition of a hot sender.
+    A plain left join with a stored profile: the planner broadcasts it while its files are
+    small and shuffles by sender beyond, where AQE splits the partition of a hot sender.
     """
     base = F.greatest(F.col("typical_spend"), F.lit(spend_floor))
     return txns.join(profile, SENDER, "left").withColumn(

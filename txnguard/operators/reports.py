@@ -44,7 +44,7 @@ def sender_window_stats(txns: DataFrame, length: int, slide: int) -> DataFrame:
         F.window("timestamp", *window_spec(length, slide)).alias("window"), "sender_upi"
     ).agg(
         F.count(F.lit(1)).alias("txn_count"),
-        F.sum(F.col("amount").cast(EXACT_AMOUNT)).alias("total_amount"),
+        F.sum(F.col("amount").try_cast(EXACT_AMOUNT)).alias("total_amount"),
     )
     return found.select(
         "sender_upi",
@@ -82,7 +82,7 @@ def sender_velocity(txns: DataFrame, seconds: int, chunk: int = 4) -> DataFrame:
             "timestamp",
             "_at",
             F.expr(f"count(1) {trailing}").alias("recent_count"),
-            F.expr(f"sum(CAST(amount AS {EXACT_AMOUNT})) {trailing}").alias("recent_amount"),
+            F.expr(f"sum(TRY_CAST(amount AS {EXACT_AMOUNT})) {trailing}").alias("recent_amount"),
         )
         .filter("_at.own")
         .drop("_at")
@@ -90,7 +90,7 @@ def sender_velocity(txns: DataFrame, seconds: int, chunk: int = 4) -> DataFrame:
 
 
 def _mix(df: DataFrame) -> list:
-    total = F.sum(F.col("amount").cast(EXACT_AMOUNT))
+    total = F.sum(F.col("amount").try_cast(EXACT_AMOUNT))
     return [
         F.count(F.lit(1)).alias("n_txns"),
         total.alias("total_amount"),

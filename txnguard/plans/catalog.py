@@ -16,7 +16,8 @@ from txnguard.functions import text
 from txnguard.functions.time import iso_ist, iso_utc_seconds, utc_wall_clock
 from txnguard.operators import alerts, contract, parsing, profile, reports, rules
 from txnguard.plans.detection import Suspects, detect, detect_for_sender, find_suspects
-from txnguard.schema import RuleParams
+from txnguard.schema import AMOUNT, RuleParams
+from txnguard.session import materialise
 from txnguard.sources import events
 from txnguard.sources.tables import read_table
 from txnguard.sources.topics import message_frame
@@ -202,10 +203,13 @@ def sender_profile(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _enriched(spark: SparkSession, folder: str) -> DataFrame:
+    known = materialise(profile.rule_profile(history(spark, folder)))
+    return profile.enrich(current(spark, folder), known, LOG_PARAMS.spend_floor)
+
+
 def txn_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    spend = profile.rule_profile(history(spark, folder)).select("sender_upi", "typical_spend")
-    enriched = profile.enrich(current(spark, folder), spend, LOG_PARAMS.spend_floor)
-    return enriched.select(
+    return _enriched(spark, folder).select(
         "txn_id", "sender_upi", F.round("amount", 2).alias("amount"), "typical_spend", "ratio"
     )
 
@@ -231,11 +235,6 @@ def new_payee_txn(spark: SparkSession, folder: str) -> DataFrame:
 # ---- rules and alerts
 
 
-def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    known = profile.rule_profile(history(spark, folder))
-    return profile.enrich(current(spark, folder), known, LOG_PARAMS.spend_floor)
-
-
 def rule_amount_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     return rules.amount_anomaly(_enriched(spark, folder), LOG_PARAMS)
 
@@ -270,6 +269,13 @@ def alerts_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return alerts.one_per_txn(alerts_all(spark, folder))
 
 
+def alerts_new(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left to store where another run has stored the alerts on amounts."""
+    every = materialise(alerts_all(spark, folder))
+    stored = every.filter(F.col("fraud_reason") == AMOUNT)
+    return alerts.not_in(alerts.one_per_txn(every), stored)
+
+
 def alerts_retract(spark: SparkSession, folder: str) -> DataFrame:
     reversed_txns = current(spark, folder).filter(F.col("status") == "REVERSED")
     return alerts.retract(alerts_all(spark, folder), reversed_txns)
@@ -355,6 +361,7 @@ QUERIES: dict[str, Query] = {
         rule_unseen_device,
         alerts_all,
         alerts_dedup,
+        alerts_new,
         alerts_retract,
         alert_feed,
         alerts_by_sender,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -25,33 +26,39 @@ class Suspects:
 
 def find_suspects(txns: DataFrame, history: DataFrame, p: RuleParams) -> Suspects:
     """One join by sender over all traffic; the small rest is written down for the rules."""
-    enriched = profile.enrich(txns, profile.rule_profile(history), p.spend_floor)
+    known = materialise(profile.rule_profile(history))
+    enriched = profile.enrich(txns, known, p.spend_floor)
     rows = materialise(rules.suspects(enriched, p))
     unlisted = rows.filter("typical_spend IS NOT NULL AND (devices IS NULL OR states IS NULL)")
     if unlisted.isEmpty():
         return Suspects(rows, None, None)
     return Suspects(
         rows,
-        profile.seen_pairs(history, profile.DEVICE),
-        profile.seen_pairs(history, profile.STATE),
+        profile.stored_pairs(history, profile.DEVICE),
+        profile.stored_pairs(history, profile.STATE),
     )
 
 
 def detect(txns: DataFrame, history: DataFrame, p: RuleParams) -> DataFrame:
     """Alerts of all rules, one row per transaction and rule.
 
-    Bursts need no profile and look at transactions, the other rules at suspects.
+    Bursts need no profile and look at transactions, the other rules at suspects. The two
+    sides store their intermediates at the same time, so that neither leaves cores idle.
     """
-    found = find_suspects(txns, history, p)
-    return alerts.union_alerts(
-        [
-            rules.unseen_device_drain(found.rows, found.seen_devices, p),
-            rules.rapid_fire(txns, p),
-            rules.amount_anomaly(found.rows, p),
-            rules.odd_hour(found.rows, p),
-            rules.location(found.rows, found.seen_states),
-        ]
-    )
+    with ThreadPoolExecutor(max_workers=1) as other_side:
+        burst = other_side.submit(rules.rapid_fire, txns, p)
+        others = suspect_alerts(find_suspects(txns, history, p), p)
+        return alerts.union_alerts([*others, burst.result()])
+
+
+def suspect_alerts(found: Suspects, p: RuleParams) -> list[DataFrame]:
+    """Alerts of the four rules that hold a transaction against its sender's profile."""
+    return [
+        rules.unseen_device_drain(found.rows, found.seen_devices, p),
+        rules.amount_anomaly(found.rows, p),
+        rules.odd_hour(found.rows, p),
+        rules.location(found.rows, found.seen_states),
+    ]
 
 
 def detect_for_sender(

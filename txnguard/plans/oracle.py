@@ -361,6 +361,10 @@ _FINAL: dict[str, tuple[list[str], str]] = {
     "rule_unseen_device": (["drain_hits"], "SELECT * FROM drain_hits"),
     "alerts_all": (["every_alert"], "SELECT * FROM every_alert"),
     "alerts_dedup": (["one_alert"], "SELECT * FROM one_alert"),
+    "alerts_new": (
+        ["one_alert", "amount_hits"],
+        "SELECT * FROM one_alert WHERE txn_id NOT IN (SELECT txn_id FROM amount_hits)",
+    ),
     "alerts_retract": (
         ["every_alert", "now_txn"],
         "SELECT * FROM every_alert WHERE txn_id NOT IN "
