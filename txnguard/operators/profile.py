@@ -105,19 +105,23 @@ _LIST_NAMES = {DEVICE: "devices", STATE: "states"}
 
 def sender_profile(history: DataFrame) -> DataFrame:
     """One row per sender: typical spend, counts, and its devices and states."""
-    spend = grouped_median(history, SENDER, "amount", "typical_spend")
+    spend = spend_profile(history)
     return spend.join(_value_sets(history, [DEVICE, STATE, PAYEE], [DEVICE, STATE]), SENDER)
 
 
+def spend_profile(history: DataFrame) -> DataFrame:
+    """Typical spend only, for rules on amounts."""
+    return grouped_median(history, SENDER, "amount", "typical_spend")
+
+
 def rule_profile(history: DataFrame) -> DataFrame:
     """The part of the profile the rules look at; payees, the widest part, stay out.
 
     Store it before joining it with traffic, as for ``stored_pairs``.
     """
-    spend = grouped_median(history, SENDER, "amount", "typical_spend")
+    spend = spend_profile(history)
     sets = _value_sets(history, [DEVICE, STATE], [DEVICE, STATE])
-    # A left join, which the optimizer drops where no list is used; both have all senders.
-    return spend.join(sets.select(SENDER, "devices", "states"), SENDER, "left")
+    return spend.join(sets.select(SENDER, "devices", "states"), SENDER)
 
 
 def enrich(txns: DataFrame, profile: DataFrame, spend_floor: float) -> DataFrame:

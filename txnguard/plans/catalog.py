@@ -204,7 +204,7 @@ def sender_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    known = materialise(profile.rule_profile(history(spark, folder)))
+    known = materialise(profile.spend_profile(history(spark, folder)))
     return profile.enrich(current(spark, folder), known, LOG_PARAMS.spend_floor)
 
 
