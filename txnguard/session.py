@@ -19,6 +19,8 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        # Call sites for error messages cost a round trip to the JVM per expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
