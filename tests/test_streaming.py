@@ -230,7 +230,8 @@ def test_same_batch_written_again_leaves_the_table(spark, tmp_path):
 
 def test_late_rows_are_dropped_and_counted(spark, lake):
     late = burst(7, prefix="late", start=NOON)
-    lake.silver_from(FLUSH, FLUSH_AGAIN, late, [txn(txn_id="z", timestamp=NOON + timedelta(hours=2), amount=100.0)])
+    last = [txn(txn_id="z", timestamp=NOON + timedelta(hours=2), amount=100.0)]
+    lake.silver_from(FLUSH, FLUSH_AGAIN, late, last)
     progress = monitor.ProgressLog()
     spark.streams.addListener(progress)
     try:
