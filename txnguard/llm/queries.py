@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import dart
+from txnguard.llm import dart, suffix
 from txnguard.sources.tables import read_table
 
 
@@ -18,5 +18,19 @@ def op2_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash,)}
+def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = read_table(spark, f"{folder}/benchmark.parquet")
+    found = suffix.find_matches(documents(spark, folder), benchmark, locations=False)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        suffix.is_contaminated().alias("contaminated"),
+        "longest",
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_dart_minhash, op8_suffix_array)}
 ORACLE_SQL: dict[str, str] = {}

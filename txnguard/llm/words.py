@@ -51,6 +51,10 @@ def separators(*spans: tuple[int, int]) -> np.ndarray:
 
 
 SPACED = separators((0x20, 0x20), (0x09, 0x0D))
+#: Runs of ASCII letters and digits and of all that is beyond ASCII.
+ALPHANUMERIC = separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +92,7 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     counts: np.ndarray
+    affixes: list[np.ndarray]
 
     @property
     def first(self) -> np.ndarray:
@@ -96,11 +101,18 @@ class Words:
 
 
 def find_words(
-    column: pa.Array, is_word: np.ndarray = SPACED, fold: np.ndarray | None = None
+    column: pa.Array,
+    is_word: np.ndarray = SPACED,
+    fold: np.ndarray | None = None,
+    affixes: tuple[int, ...] = (),
 ) -> Words:
-    """All words of all rows. ``fold`` maps bytes before hashing (lower case, say)."""
+    """All words of all rows. ``fold`` maps bytes before hashing (lower case, say).
+
+    For each of ``affixes`` the words' first n bytes (n > 0) or last -n bytes are hashed too.
+    """
     raw, at = column_bytes(column)
     hashes, starts, ends = [], [], []
+    parts: list[list[np.ndarray]] = [[] for _ in affixes]
     begin, n = 0, len(raw)
     while begin < n:
         end = _block_end(raw, at, is_word, begin)
@@ -120,6 +132,11 @@ def find_words(
         np.cumsum(letters * power[: len(block)], out=sums[1:])
         value = (sums[e] - sums[s]) * inverse[s]
         hashes.append(mix(value + (e - s).astype(np.uint64) * _STEP))
+        for n_bytes, part in zip(affixes, parts, strict=True):
+            i = s if n_bytes > 0 else np.maximum(s, e + n_bytes)
+            j = np.minimum(e, s + n_bytes) if n_bytes > 0 else e
+            value = (sums[j] - sums[i]) * inverse[i]
+            part.append(mix(value + np.uint64((n_bytes * int(_BASE)) % (1 << 64))))
         starts.append(s + begin)
         ends.append(e + begin)
         begin = end
@@ -132,6 +149,7 @@ def find_words(
         start,
         np.concatenate(ends) if ends else none,
         np.bincount(row, minlength=len(at) - 1).astype(np.int64),
+        [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in parts],
     )
 
 
