@@ -78,3 +78,22 @@ def benchmark_hits(docs, items, window=13):
         ids = sorted(str(x) for x in found if x is not None)
         out[d] = (len(w), len(hit), len(ids), sha(",".join(ids)), len(hit) > 0 and 20 * len(hit) >= len(w))
     return out
+
+
+def without_repeats(rows, window=13):
+    """[(id, n_words, n_removed, kept_sha256)]"""
+    least = {}
+    for i, t in rows:
+        w = split(t)
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            least[key] = min(least.get(key, i), i)
+    out = []
+    for i, t in rows:
+        w = split(t)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if least[tuple(w[k : k + window])] < i:
+                gone.update(range(k, k + window))
+        out.append((i, len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return out

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import dart, suffix
+from txnguard.llm import anchors, dart, suffix, toxic
 from txnguard.sources.tables import read_table
 
 
@@ -18,6 +18,10 @@ def op2_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "n_links")
 
 
+def op4_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
+    return anchors.remove_repeats(documents(spark, folder), keep_text=False)
+
+
 def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = read_table(spark, f"{folder}/benchmark.parquet")
     found = suffix.find_matches(documents(spark, folder), benchmark, locations=False)
@@ -32,5 +36,27 @@ def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash, op8_suffix_array)}
+def held_out(id_col: str = "doc_id") -> Column:
+    """The fifth of the rows, by id, whose labels no model sees."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
+def toxic_model(spark: SparkSession, folder: str) -> toxic.Model:
+    labels = read_table(spark, f"{folder}/labels.parquet").where(~held_out())
+    return toxic.train(documents(spark, folder), labels)
+
+
+def op9_crf_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = toxic.score(docs, toxic_model(spark, folder))
+    return found.select(
+        "row.doc_id",
+        held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_dart_minhash, op4_difference_cover, op8_suffix_array, op9_crf_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
