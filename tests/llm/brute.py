@@ -97,3 +97,44 @@ def without_repeats(rows, window=13):
                 gone.update(range(k, k + window))
         out.append((i, len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
     return out
+
+
+def sketch(text, width=5, scale=8):
+    """Hashes as Spark's xxhash64 gives them."""
+    import xxhash
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chain(values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v, seed)
+        return signed(seed)
+
+    h = [chain([w.encode()]).to_bytes(8, "little", signed=True) for w in split(text)]
+    if 0 < len(h) < width:
+        found = {chain(h)}
+    else:
+        found = {chain(h[k : k + width]) for k in range(len(h) - width + 1)}
+    return sorted(x for x in found if x > (1 << 63) - 1 - (1 << 64) // scale)
+
+
+def fingerprints(rows):
+    """[(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)]"""
+
+    def like(a, b):
+        return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+    def text(a):
+        return "".join(f"{x & (2**64 - 1):016x}" for x in a)
+
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (-(1 << 63) if r[0] is None else r[0], r[1]), reverse=True)
+    out = []
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        third = len(t) // 3
+        edited = t[: len(t) - third] + after[:third]
+        a, b, c = sketch(t), sketch(edited), sketch(after)
+        out.append((i, len(t), sha(edited), text(a), text(b), like(a, b), like(a, c)))
+    return out

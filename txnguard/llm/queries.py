@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, dart, suffix, toxic
+from txnguard.llm import anchors, dart, sketch, suffix, toxic
 from txnguard.sources.tables import read_table
 
 
@@ -18,6 +18,10 @@ def op2_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "n_links")
 
 
+def op3_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.compare_with_next(documents(spark, folder))
+
+
 def op4_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
     return anchors.remove_repeats(documents(spark, folder), keep_text=False)
 
@@ -58,5 +62,5 @@ def op9_crf_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash, op4_difference_cover, op8_suffix_array, op9_crf_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op8_suffix_array, op9_crf_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
