@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, dart, sketch, suffix, toxic
+from txnguard.llm import anchors, archive, dart, sketch, suffix, toxic
+from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
 
@@ -26,6 +29,14 @@ def op4_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
     return anchors.remove_repeats(documents(spark, folder), keep_text=False)
 
 
+def op5_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, f"{folder}/pages.parquet")
+    stored = archive.write_archive(pages, f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}")
+    return archive.read_archive(spark, stored).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
 def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = read_table(spark, f"{folder}/benchmark.parquet")
     found = suffix.find_matches(documents(spark, folder), benchmark, locations=False)
@@ -62,5 +73,17 @@ def op9_crf_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op8_suffix_array, op9_crf_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op8_suffix_array, op9_crf_toxicity)}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc_archive": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages
+        ), r AS (
+            SELECT *, max(page_id) OVER (PARTITION BY html) AS response FROM p
+        )
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+            CASE WHEN n >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN n >= 1000 AND page_id <> response THEN response END AS refers_to,
+            true AS verified
+        FROM r""",
+}
