@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, dart, sketch, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, mixing, sketch, suffix, toxic
 from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
@@ -18,7 +18,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = dart.near_duplicates(documents(spark, folder))
-    return found.select("doc_id", "class_id", "class_size", "n_links")
+    return found.select("doc_id", "class_id", "class_size")
 
 
 def op3_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op5_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_water_filling(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.plan_mix(documents(spark, folder), carried=["doc_id"])
+    return plan.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = read_table(spark, f"{folder}/benchmark.parquet")
     found = suffix.find_matches(documents(spark, folder), benchmark, locations=False)
@@ -73,7 +78,21 @@ def op9_crf_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op8_suffix_array, op9_crf_toxicity)}
+URL_RULES = [
+    cascade.Rule("allow", "com", "/"),
+    cascade.Rule("block", "example.com", "/en/"),
+    cascade.Rule("allow", "www.example.com", "/en/"),
+    cascade.Rule("block", "net", "/es/"),
+    cascade.Rule("block", "net", "/fr/"),
+]
+
+
+def op10_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, f"{folder}/pages.parquet")
+    return cascade.judge(pages, URL_RULES)
+
+
+QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": """
         WITH p AS (
@@ -86,4 +105,52 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN n >= 1000 AND page_id <> response THEN response END AS refers_to,
             true AS verified
         FROM r""",
+    "op7_water_filling": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+            FROM documents
+        ), s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w
+            FROM d GROUP BY source
+        ), c AS (
+            SELECT *, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM s
+        ), o AS (
+            SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM c
+        ), t AS (
+            SELECT source, source_size, least(cap, w * (SELECT level FROM o WHERE level * w <= cap ORDER BY cap / w, source LIMIT 1)) AS target FROM o
+        ), e AS (
+            SELECT d.*, t.source_size, t.target, CAST(floor(t.target / t.source_size) AS BIGINT) AS repeats,
+                coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, source_size, target,
+            CAST(repeats * size + greatest(0, least(size, CAST(round(target) AS BIGINT) - repeats * source_size - ahead)) AS BIGINT) AS taken
+        FROM e""",
+    "op10_bloom_cascade": r"""
+        WITH u AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+        ), p AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u
+        ), r AS (
+            SELECT *, CASE
+                WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+                WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+                WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+                WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+                WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/'
+                END AS rule
+            FROM p
+        ), v AS (
+            SELECT *, coalesce(bool_or(rule IN ('example.com/en/', 'net/es/', 'net/fr/')) OVER (PARTITION BY host), false) AS listed FROM r
+        )
+        SELECT page_id, host, path, rule, listed,
+            CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow'
+                WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
+        FROM v""",
 }
