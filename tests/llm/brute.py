@@ -138,3 +138,25 @@ def fingerprints(rows):
         a, b, c = sketch(t), sketch(edited), sketch(after)
         out.append((i, len(t), sha(edited), text(a), text(b), like(a, b), like(a, c)))
     return out
+
+
+def personal(text):
+    """[(kind, start, end)] by the patterns as they are stated."""
+
+    def luhn(d):
+        n = [int(c) for c in d][::-1]
+        return (sum(n[::2]) + sum(sum(divmod(2 * x, 10)) for x in n[1::2])) % 10 == 0
+
+    checks = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "card": (
+            r"[0-9]([\x20-]?[0-9])+",
+            lambda m: 14 <= len(d := re.sub("[ -]", "", m)) <= 19 and luhn(d),
+        ),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    }
+    found = []
+    for k, (kind, (pattern, good)) in enumerate(checks.items()):
+        found += [(m.start(), k, kind, m.end()) for m in re.finditer(pattern, text or "") if good(m[0])]
+    return [(kind, s, e) for s, _, kind, e in sorted(found)]

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, cascade, dart, mixing, sketch, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, mixing, sketch, spans, suffix, toxic
 from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
@@ -16,6 +16,30 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, f"{folder}/documents.parquet")
 
 
+def pii_model(docs: DataFrame) -> spans.Model:
+    return spans.train(docs)
+
+
+def op1_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = spans.find(docs, pii_model(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(which: Column) -> Column:
+        parts = F.transform(which, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id",
+        *map(count, spans.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = dart.near_duplicates(documents(spark, folder))
     return found.select("doc_id", "class_id", "class_size")
@@ -92,7 +116,7 @@ def op10_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return cascade.judge(pages, URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": """
         WITH p AS (
