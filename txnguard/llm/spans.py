@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
 #: Atoms of the longest entity, and the least marginal of a span that is added.
-MOST_ATOMS, SURE = 24, 0.9
+MOST_ATOMS, SURE = 24, 0.75
 #: The fit looks at this many texts at most, none longer than MAX_CHARS, and as many regions at most.
 SAMPLE_DOCS, MAX_CHARS, SAMPLE_REGIONS = 1500, 20_000, 1500
 
@@ -125,19 +125,21 @@ def _side(c: str) -> str:
 
 
 def candidates(atoms: list[str]) -> list[tuple[int, int]]:
-    """Spans of atoms that begin and end like an entity and have an @ or at least seven digits."""
+    """Spans of atoms that begin and end like an entity and have an @, or at least seven digits, or four
+    numbers with dots between them."""
     out = []
     n = len(atoms)
     good_end = [a[0].isascii() and a[0].isalnum() for a in atoms]
     for i in range(n):
         if not (good_end[i] or atoms[i] in "+("):
             continue
-        digits, at = 0, False
+        digits, dots, at = 0, 0, False
         for j in range(i + 1, min(n, i + MOST_ATOMS) + 1):
             a = atoms[j - 1]
             at |= a == "@"
             digits += len(a) if a[0] in "0123456789" else 0
-            if good_end[j - 1] and (at or 7 <= digits <= 24):
+            dots += a == "."
+            if good_end[j - 1] and (at or 7 <= digits <= 24 or (dots == 3 and digits >= 4 and j - i == 7)):
                 out.append((i, j))
     return out
 
@@ -147,23 +149,27 @@ def span_features(atoms: list[str], i: int, j: int, left: str, right: str) -> li
     part = atoms[i:j]
     numbers = [a for a in part if a[0] in "0123456789"]
     digits = "".join(numbers)
+    size = next((top for top in (9, 12, 15, 16, 19) if len(digits) <= top), 99)
     marks = sorted({a for a in part if not (a[0].isascii() and a[0].isalnum())} - {"+"})
-    shape = "".join("d" + str(min(len(a), 20)) if a[0] in "0123456789" else "a" if a.isascii() and a.isalpha() else a for a in part)
+    shapes = ["d" + str(min(len(a), 5)) if a[0] in "0123456789" else "a" if a.isascii() and a.isalpha() else a[:1] for a in part if a != "+"]
     before = atoms[i - 1][-1] if i else left
     after = atoms[j][0] if j < len(atoms) else right
+    at = part.index("@") if "@" in part else -1
+    quad = len(part) == 7 and len(numbers) == 4 and part.count(".") == 3
     return [
         "bias",
-        f"digits {min(len(digits), 25)}",
-        f"groups {min(len(numbers), 9)}",
-        f"marks {''.join(marks)[:12]}",
-        f"shape {shape.lstrip('+')[:40]}",
-        f"ends {'d' if part[-1][0] in '0123456789' else 'a'}",
-        f"starts {'d' if part[0][0] in '0123456789' else 'a' if part[0].isalpha() else part[0]}",
-        f"at {part.count('@')} dots after {min(9, part[part.index('@'):].count('.')) if '@' in part else 'none'}",
+        f"digits {size}",
+        f"groups {min(len(numbers), 6)}",
+        f"marks {''.join(marks)[:8]}",
+        f"tail {''.join(shapes[-3:])}",
+        f"long tail {''.join(shapes[-5:])}",
+        f"head {shapes[0]}",
+        f"ends {shapes[-1][0]}",
+        f"at {part.count('@')} first {at == 0} dotted {at >= 0 and '.' in part[at:]}",
         f"before {_side(before)}",
         f"after {_side(after)}",
-        f"four {len(numbers) == 4 and all(map(small, numbers)) and part.count('.') == 3 and len(part) == 7}",
-        f"check {14 <= len(digits) <= 19 and luhn(digits)} {'@' in part}",
+        f"quad {quad} {quad and all(map(small, numbers))}",
+        f"check {14 <= len(digits) <= 19 and luhn(digits)} {at >= 0}",
     ]
 
 
@@ -189,7 +195,7 @@ def lattice(number: dict[str, int], atoms: list[str], left: str, right: str, gro
         names = span_features(atoms, i, j, left, right)
         # Number 0 is for what was not seen in training; it has no weight.
         rows.append([number.setdefault(x, len(number) + 1) if grow else number.get(x, 0) for x in names])
-    return Lattice(len(atoms), pairs, np.array(rows, np.int64).reshape(len(pairs), -1))
+    return Lattice(len(atoms), pairs, np.array(rows, np.int64) if rows else np.zeros((0, 1), np.int64))
 
 
 def marginals(grid: Lattice, weights: np.ndarray) -> tuple[np.ndarray, float]:
@@ -247,10 +253,10 @@ def decode(grid: Lattice, weights: np.ndarray) -> list[tuple[int, int, int, int]
 
 
 def _worth(region: str) -> bool:
-    return "@" in region or len(_DIGIT.findall(region)) >= 7
+    return "@" in region or len(_DIGIT.findall(region)) >= 7 or region.count(".") >= 3
 
 
-def fit(texts: list[str], rounds: int = 30) -> Model:
+def fit(texts: list[str], rounds: int = 40) -> Model:
     """Trains on the patterns' finds: in each region the candidates that they make are entities, all
     else is not. Of finds that overlap the longest counts."""
     number: dict[str, int] = {}
