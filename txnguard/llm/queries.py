@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, cascade, dart, mixing, sketch, spans, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, mixing, ordinal, sketch, spans, suffix, toxic
 from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
@@ -61,6 +61,27 @@ def op5_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quality_grades(labels: DataFrame) -> DataFrame:
+    """Graded ratings from the two labels: 0 poor, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2))
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op6_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = read_table(spark, f"{folder}/labels.parquet").where(~held_out())
+    model = ordinal.train(docs, quality_grades(labels), grades=3)
+    found = ordinal.grade(docs, model)
+    return found.select(
+        "row.doc_id",
+        held_out("row.doc_id").alias("held_out"),
+        F.col("expected").alias("expected_grade"),
+        F.col("at_least")[1].alias("p_at_least_1"),
+        F.col("at_least")[2].alias("p_at_least_2"),
+        (F.col("at_least")[1] >= 0.5).alias("selected"),
+    )
+
+
 def op7_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(documents(spark, folder), carried=["doc_id"])
     return plan.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -116,7 +137,7 @@ def op10_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return cascade.judge(pages, URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op6_ordinal_quality, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": """
         WITH p AS (
