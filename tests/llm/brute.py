@@ -149,7 +149,7 @@ def personal(text):
 
     checks = {
         "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
-        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x[-4000:]) <= 255 for x in m.split("."))),
         "card": (
             r"[0-9]([\x20-]?[0-9])+",
             lambda m: 14 <= len(d := re.sub("[ -]", "", m)) <= 19 and luhn(d),
