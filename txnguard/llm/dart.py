@@ -23,6 +23,8 @@ from txnguard.llm.words import find_words, mix, row_slices, windows
 from txnguard.session import materialise
 
 SHINGLE, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 32, 4
+#: Shingles of a block of a bucket, of members and of strays each.
+BLOCK_SHINGLES = 1_000_000
 _CELL, _TRY, _NAME, _WHERE = (np.uint64(x | 1) for x in (0x51ED2701, 0xA3B195354A39B70D, 0x1B873593CC9E2D51, 0x2545F4914F6CDD1D))
 
 
@@ -151,6 +153,47 @@ def _similarity(width: int):
     return run
 
 
+def _apart(similarity: float, width: int):
+    """Links between strays and members of a block of a bucket that are in different components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, part, stray = (table.column(c).to_numpy() for c in ("node", "part", "stray"))
+        element, weight, row = weighted_shingles(table.column("text").combine_chunks(), width)
+        # A shingle that occurs w times as w elements: similarity of weights is then that of sets.
+        times = weight.astype(np.int64)
+        level = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        element = mix(np.repeat(element, times) + level.astype(np.uint64) * _CELL)
+        row = np.repeat(row, times)
+        _, element = np.unique(element, return_inverse=True)
+        size = np.bincount(row, minlength=len(node))
+        start = np.cumsum(size) - size
+        member = ~stray & (size > 0)
+        # Rows are in order, so each text's elements are a slice; held is how many members have one.
+        held = np.bincount(element[member[row]], minlength=element.max() + 1 if len(element) else 1)
+        order = np.argsort(np.where(member[row], element, len(held)), kind="stable")[: int(size[member].sum())]
+        first = np.concatenate([[0], np.cumsum(held)])
+        mine = np.zeros(len(held), bool)
+        a, b = [], []
+        for x in np.flatnonzero(stray & (size > 0)):
+            own = element[start[x] : start[x] + size[x]]
+            need = math.ceil(similarity * size[x] - 1e-9)
+            # A text similar enough has one of any size - need + 1 elements: take the rarest.
+            rare = own[np.argsort(held[own], kind="stable")[: size[x] - need + 1]]
+            near = np.unique(np.concatenate([row[order[first[e] : first[e + 1]]] for e in rare]))
+            near = near[(part[near] != part[x]) & (size[near] >= need) & (size[near] * similarity <= size[x] + 1e-9)]
+            if len(near):
+                mine[own] = True
+                flat = np.repeat(start[near] - np.cumsum(size[near]) + size[near], size[near]) + np.arange(size[near].sum())
+                both = np.add.reduceat(mine[element[flat]].astype(np.int64), np.cumsum(size[near]) - size[near])
+                mine[own] = False
+                close = near[both >= (similarity - 1e-12) * (size[x] + size[near] - both)]
+                a += [min(node[x], node[y]) for y in close]
+                b += [max(node[x], node[y]) for y in close]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -160,17 +203,17 @@ def near_duplicates(
     band_rows: int = BAND_ROWS,
     width: int = SHINGLE,
 ) -> DataFrame:
-    """One row per row of ``docs``: (<id>, digest, class_key, class_id, class_size, n_links).
+    """One row per row of ``docs``: (<id>, digest, class_key, class_id, class_size).
 
     Texts are linked when the weighted Jaccard similarity of their shingles is at least
     ``similarity``; classes are the connected components, told apart by class_key; class_id is the least id in the class,
-    class_size its number of rows, n_links the number of links found at the row's text. With 32 bands
-    of 4 a pair at 0.8 shares a band with probability 1 - 5e-8; each candidate is checked exactly.
+    class_size its number of rows. With 32 bands of 4 a pair at 0.8 shares a band with probability 1 - 5e-8; each candidate is checked exactly.
 
     Equal texts are joined by digest before anything else, and a group of thousands of copies counts
     as one text. In a bucket, texts are compared with its pivot, not with each other. What is then
     still apart from the bucket's main component is compared with all of the bucket outside its own
-    component: only these pairs can hold a missing link, so none is lost and no bucket is capped.
+    component: only these pairs can hold a missing link, so none is lost and no bucket is capped. This
+    is done in blocks of bounded size, by the rarest shingles of each stray; pairs are not listed.
 
     Null text counts as empty. Texts without words are one class only if equal. Null ids are allowed:
     they never name a class unless all its ids are null. Repeated rows and ids fall into the classes
@@ -228,38 +271,47 @@ def near_duplicates(
             "key", "node", "size", F.coalesce("component", "node").alias("part")
         )
     )
+    # For each bucket that is still in parts, into how many blocks its members and strays go.
     main = (
         placed.groupBy("key", "part")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("size").alias("size"))
         .groupBy("key")
-        .agg(F.max(F.struct("n", "part")).alias("m"), F.count("*").alias("parts"))
+        .agg(F.max(F.struct("n", "part", "size")).alias("m"), F.sum("size").alias("size"), F.count("*").alias("parts"))
         .where("parts > 1")
-        .select("key", F.col("m.part").alias("main"))
+        .select(
+            "key",
+            F.col("m.part").alias("main"),
+            F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+            F.ceil((F.col("size") - F.col("m.size")) / BLOCK_SHINGLES).cast("int").alias("stray_blocks"),
+        )
     )
     mixed = placed.join(main, "key")
-    stray = mixed.where("part != main").select(
-        "key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("part").alias("other_part")
+    dealt = F.abs(F.xxhash64("node") % F.lit(1 << 40))
+    members = mixed.select(
+        "key", "node", "part", F.lit(False).alias("stray"),
+        (dealt % F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("stray_block"),
+    )
+    strays = mixed.where("part != main").select(
+        "key", "node", "part", F.lit(True).alias("stray"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), (dealt % F.col("stray_blocks")).alias("stray_block"),
     )
     rest = (
-        mixed.join(stray, "key")
-        .where(f"part != other_part and (part = main or node > other) and {fits}")
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        .distinct()
+        members.union(strays)
+        .join(content, "node")
+        .groupBy("key", "block", "stray_block")
+        .applyInArrow(_apart(similarity, width), "a long, b long")
     )
-    found = materialise(found.union(links(rest)).distinct())
+    found = materialise(found.union(rest).distinct())
     part = components(found)
-    ends = found.select(F.explode(F.array("a", "b")).alias("node"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     named = materialise(
         texts.select("digest", "node")
         .join(part, "node", "left")
-        .join(degree, "node", "left")
-        .select("digest", F.coalesce("component", "node").alias("part"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("digest", F.coalesce("component", "node").alias("part"))
     )
     rows = materialise(source.select("id", "digest").join(named, "digest"))
     classes = rows.groupBy("part").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     return rows.join(classes, "part").select(
-        F.col("id").alias(id_col), "digest", F.col("part").alias("class_key"), "class_id", "class_size", "n_links"
+        F.col("id").alias(id_col), "digest", F.col("part").alias("class_key"), "class_id", "class_size"
     )
 
 
