@@ -28,7 +28,7 @@ from txnguard.session import materialise
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 #: Words per partition of the exchange of hashes, and bounds on the number of partitions.
-PART_WORDS, MOST_PARTS = 4_000_000, 20_000
+PART_WORDS, LEAST_PARTS, MOST_PARTS = 4_000_000, 32, 20_000
 _LAST = (1 << 63) - 1
 _PACKED = "part int, owner bigint, positions binary"
 #: A window: its hash, what decides who is smaller, the text it lies in, and its first word there.
@@ -116,8 +116,7 @@ def _deal(pick: Callable, parts: int, smaller: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, words_held = [], 0
-            for first, last in row_slices(batch.column("text"), 4 << 20):
-                part = batch.slice(first, last - first)
+            for part in _with_text(batch):
                 hashes, row, at = pick(part)
                 entries = np.empty(len(hashes), _ENTRY)
                 entries["hash"], entries["at"] = hashes, at
@@ -150,6 +149,32 @@ def _deal(pick: Callable, parts: int, smaller: bool):
     return run
 
 
+def _with_text(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of bounded size, with texts that travelled packed in full."""
+    if "packed" not in batch.schema.names:
+        for first, last in row_slices(batch.column("text"), most):
+            yield batch.slice(first, last - first)
+        return
+    packed, first, texts, size = batch.column("packed"), 0, [], 0
+    unpack = zstandard.ZstdDecompressor()
+    for i in range(len(packed)):
+        texts.append(unpack.decompress(packed[i].as_py()))
+        size += len(texts[-1])
+        if size > most or i == len(packed) - 1:
+            column = pa.array(texts, pa.binary()).cast(pa.string())
+            yield batch.slice(first, i + 1 - first).append_column("text", column)
+            first, texts, size = i + 1, [], 0
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed by themselves: they are to be shuffled."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [pack.compress(x.as_buffer()) for x in batch.column("text")]
+        columns = [batch.column("id"), batch.column("digest"), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "packed"])
+
+
 def _compare(parts: int, smaller: bool):
     """What is repeated over all batches, from the packed hashes of one partition."""
 
@@ -236,9 +261,10 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(window: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _with_text(whole)):
             rows = []
-            for id_, digest, text, positions in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("id", "digest", "text", "positions"))
+            for id_, digest, text, positions in zip(*columns, strict=True):
                 words = text.encode().split()
                 change = np.zeros(len(words) + 1, np.int32)
                 at = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in positions]))
@@ -283,21 +309,22 @@ def remove_repeats(
     summary = materialise(source.mapInArrow(_summary, "id long, digest long, n_words long, sha string"))
     least = summary.groupBy("digest").agg(F.min("id").alias("least"))
     n_words = summary.agg(F.sum("n_words")).first()[0] or 0
-    parts = int(min(MOST_PARTS, max(8, n_words // PART_WORDS)))
+    parts = int(min(MOST_PARTS, max(LEAST_PARTS, n_words // PART_WORDS)))
     digest = F.col("digest")
     shared = _found(
         source.select(digest.alias("rank"), digest.alias("owner"), "text"), _anchors(window, period, cover), parts, False
     )
     # The documents to compare in full, one per distinct text. Copies combine before the shuffle.
-    texts = source.groupBy("digest").agg(F.min("id").alias("id"), F.first("text").alias("text"))
+    packed = source.mapInArrow(_squeeze, "id long, digest long, packed binary")
+    texts = packed.groupBy("digest").agg(F.min("id").alias("id"), F.first("packed").alias("packed"))
     near = materialise(texts.join(shared.withColumnRenamed("owner", "digest"), "digest"))
     repeated = _found(
-        near.select(F.col("id").alias("rank"), digest.alias("owner"), "text", "positions"), _candidates(window, period), parts, True
+        near.select(F.col("id").alias("rank"), digest.alias("owner"), "packed", "positions"), _candidates(window, period), parts, True
     )
     removed = (
         near.drop("positions")
         .join(repeated.withColumnRenamed("owner", "digest"), "digest")
-        .select("id", "digest", "text", "positions")
+        .select("id", "digest", "packed", "positions")
         .mapInArrow(_cut(window, keep_text), "id long, digest long, n_removed long, kept_sha string, kept string")
     )
     copy = (F.col("least") < F.col("id")) & (F.col("n_words") >= window)
