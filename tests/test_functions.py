@@ -56,8 +56,8 @@ def test_a_burst_lies_in_one_sliding_window(start, gaps):
 
 def test_text(spark):
     df = spark.createDataFrame(
-        [(" \t o'neil mary-jane a1b ÉCOLE\n", " Raj.Guru@Gmail.Com ", ' 1,234 '),
-         ("   ", "raj@gmail", "12x"), (None, "raj.gmail.com", None), ("raj", "a.b@c@d.e", "-7")],
+        [(" \t o'brien anna-lee a1b ÉCOLE\n", " Mira.Guru@Gmail.Com ", ' 1,234 '),
+         ("   ", "mira@gmail", "12x"), (None, "mira.gmail.com", None), ("mira", "a.b@c@d.e", "-7")],
         "name string, email string, n string",
     )
     rows = df.select(
@@ -66,9 +66,9 @@ def test_text(spark):
         text.clean_email(F.col("email")).alias("email"),
         text.parse_grouped_int(F.col("n")).alias("n"),
     ).collect()
-    assert [r.name for r in rows] == ["O'Neil Mary-Jane A1B École", None, None, "Raj"]
+    assert [r.name for r in rows] == ["O'Brien Anna-Lee A1B École", None, None, "Mira"]
     assert [r.ok for r in rows] == [True, False, False, True]
-    assert rows[0].email == "raj.guru@gmail.com"
+    assert rows[0].email == "mira.guru@gmail.com"
     assert [r.n for r in rows] == [1234, None, None, -7]
 
 
@@ -90,10 +90,10 @@ def test_random_ids_differ(spark):
     assert ids.distinct().count() == 100
 
 
-def test_amount_beyond_exact_sums_does_not_fail_the_job(spark):
+def test_large_amounts_are_in_the_sums(spark):
     rows = [txn(txn_id="a", amount=1e17), txn(txn_id="b", amount=2.0)]
     (stats,) = reports.sender_window_stats(frame(spark, rows), 60, 60).collect()
-    assert stats.txn_count == 2 and float(stats.total_amount) == 2.0
+    assert stats.txn_count == 2 and stats.total_amount == 10**17 + 2
 
 
 def test_trailing_sums_across_chunks(spark):
@@ -132,10 +132,10 @@ def test_history_joins(spark):
 
 
 def test_profile_lists(spark):
-    past = history() + history(n=2, sender_device_id="user0472_9", sender_state="Delhi")
+    past = history() + history(n=2, sender_device_id="user0731_9", sender_state="Delhi")
     (row,) = profile.sender_profile(frame(spark, past)).collect()
-    assert row.devices == ["user0472_0", "user0472_9"]
-    assert row.states == ["Delhi", "Telangana"]
+    assert row.devices == ["user0731_0", "user0731_9"]
+    assert row.states == ["Delhi", "Odisha"]
     assert (row.n_txns, row.n_devices, row.n_payees, row.typical_spend) == (7, 2, 1, 100.0)
 
 
@@ -178,6 +178,19 @@ def test_window_has_to_be_whole_slides():
 def test_message_round_trip(spark):
     rows = frame(spark, burst(2) + [txn(timestamp=datetime.fromisoformat("2026-08-02T12:00:00+00:00"))])
     (m,) = topics.message_frame(rows).filter("value LIKE '%17:30:00%'").collect()
-    assert m.key == "user0472@okbizaxis"
+    assert m.key == "user0731@oksbi"
     assert '"timestamp":"2026-08-02T17:30:00.000000+05:30"' in m.value
     assert '"receiver_category":null' in m.value
+
+
+def test_long_numbers_stay_whole(spark):
+    from txnguard.sources import events
+
+    rows = [
+        (3_000_000_000 + i, datetime(2024, 1, 1) + timedelta(seconds=i), 9_990 + i * 50_000, "click", 1.0, f'{{"k": {i % 100}}}')
+        for i in range(40)
+    ]
+    log = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    txns = events.transactions_from_events(log)
+    assert txns.select("txn_id").distinct().count() == txns.select("sender_upi").distinct().count() == 40
+    assert events.with_labels(txns).filter("fraud_pattern = 'location_anomaly'").isEmpty()

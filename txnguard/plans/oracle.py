@@ -1,30 +1,29 @@
 """The registered queries in plain SQL for DuckDB, written from the definitions.
 
-No code is shared with the Spark side: windows are listed one by one, medians are ranks.
+Only the fixed value lists are shared with the Spark side: windows are listed one by one, medians are
+ranks.
 """
 
 from __future__ import annotations
 
-_STATES = (
-    "['Maharashtra','Karnataka','Delhi','Tamil Nadu','West Bengal','Gujarat','Uttar Pradesh',"
-    "'Telangana','Rajasthan','Kerala','Punjab','Haryana','Madhya Pradesh','Bihar','Odisha']"
-)
-_BANKS = "['oksbi','okhdfcbank','okicici','okaxis','ybl','paytm','okbizaxis']"
-_CATEGORIES = (
-    "['grocery','food_delivery','fuel','travel','entertainment','utilities','ecommerce',"
-    "'healthcare','education','electronics','fashion','pharmacy']"
-)
+from txnguard.sources.events import BANK_HANDLES, INDIAN_STATES, MERCHANT_CATEGORIES
+
+def _listed(values: list[str]) -> str:
+    return "[" + ",".join(f"'{v}'" for v in values) + "]"
+
+
+_STATES, _BANKS, _CATEGORIES = map(_listed, (INDIAN_STATES, BANK_HANDLES, MERCHANT_CATEGORIES))
 
 _TXN_COLUMNS = (
     "txn_id, timestamp, sender_upi, sender_state, sender_device_id, receiver_upi, "
     "receiver_type, receiver_category, amount, status, is_fraud, fraud_pattern"
 )
 _ALERT = (
-    "txn_id, sender_upi, receiver_upi, CAST(amount AS DECIMAL(12,2)) AS amount, "
+    "txn_id, sender_upi, receiver_upi, CAST(amount AS DECIMAL(28,2)) AS amount, "
     "timestamp AS txn_timestamp"
 )
 _POINT = f"{_ALERT}, timestamp AS window_start, timestamp AS window_end"
-_NO_WINDOW = "CAST(NULL AS INTEGER) AS txn_count, CAST(NULL AS DECIMAL(14,2)) AS total_amount"
+_NO_WINDOW = "CAST(NULL AS BIGINT) AS txn_count, CAST(NULL AS DECIMAL(38,2)) AS total_amount"
 
 # name -> (names it builds on, body)
 _PARTS: dict[str, tuple[list[str], str]] = {
@@ -37,23 +36,23 @@ _PARTS: dict[str, tuple[list[str], str]] = {
         f"""
         SELECT ts + to_seconds(CASE WHEN k = 95 THEN -10800 ELSE event_id % 7 END)
                  AS kafka_timestamp,
-               'txn-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS txn_id,
+               'txn-' || lpad(CAST(event_id AS VARCHAR), greatest(8, length(CAST(event_id AS VARCHAR))), '0') AS txn_id,
                ts AS timestamp,
-               'user' || lpad(CAST(user_id AS VARCHAR), 4, '0') || '@'
+               'user' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '@'
                  || {_BANKS}[user_id % 7 + 1] AS sender_upi,
                {_STATES}[(user_id + CASE WHEN k = 96 THEN 1 ELSE 0 END) % 15 + 1] AS sender_state,
                CASE WHEN k >= 97
-                    THEN 'dev' || lpad(CAST(user_id AS VARCHAR), 4, '0') || '_'
+                    THEN 'dev' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '_'
                          || CAST(day(ts) // 8 AS VARCHAR)
-                    ELSE 'user' || lpad(CAST(user_id AS VARCHAR), 4, '0') || '_'
+                    ELSE 'user' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '_'
                          || CAST(k % (1 + user_id % 3) AS VARCHAR) END AS sender_device_id,
                CASE WHEN k % 5 < 3
-                    THEN 'merchant' || lpad(CAST(event_id % 80 AS VARCHAR), 3, '0') || '@'
+                    THEN 'merchant' || lpad(CAST(event_id % 80 AS VARCHAR), greatest(3, length(CAST(event_id % 80 AS VARCHAR))), '0') || '@'
                          || {_BANKS}[event_id % 7 + 1]
                     WHEN k >= 90
-                    THEN 'stranger' || lpad(CAST(event_id % 1000 AS VARCHAR), 4, '0') || '@'
+                    THEN 'stranger' || lpad(CAST(event_id % 1000 AS VARCHAR), greatest(4, length(CAST(event_id % 1000 AS VARCHAR))), '0') || '@'
                          || {_BANKS}[event_id % 7 + 1]
-                    ELSE 'user' || lpad(CAST((user_id + 1 + k) % 150 AS VARCHAR), 4, '0') || '@'
+                    ELSE 'user' || lpad(CAST((user_id + 1 + k) % 150 AS VARCHAR), greatest(4, length(CAST((user_id + 1 + k) % 150 AS VARCHAR))), '0') || '@'
                          || {_BANKS}[((user_id + 1 + k) % 150) % 7 + 1] END AS receiver_upi,
                CASE WHEN k % 5 < 3 THEN 'P2M' ELSE 'P2P' END AS receiver_type,
                CASE WHEN k % 5 < 3 THEN {_CATEGORIES}[event_id % 12 + 1] END AS receiver_category,
@@ -160,7 +159,7 @@ _PARTS: dict[str, tuple[list[str], str]] = {
         ["burst_rows"],
         """
         SELECT sender_upi, sender_device_id, w AS window_start, w + INTERVAL 6 HOUR AS window_end,
-               count(*) AS txn_count, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount
+               count(*) AS txn_count, sum(CAST(amount AS DECIMAL(28,2))) AS total_amount
         FROM (SELECT *, unnest(generate_series(
                 time_bucket(INTERVAL 1 HOUR, timestamp, TIMESTAMP '1970-01-01')
                   - INTERVAL 5 HOUR,
@@ -173,8 +172,8 @@ _PARTS: dict[str, tuple[list[str], str]] = {
         ["burst_rows", "burst_windows"],
         f"""
         SELECT {_ALERT}, window_start, window_end, 'rapid_fire_burst' AS fraud_reason,
-               CAST(txn_count AS INTEGER) AS txn_count,
-               CAST(total_amount AS DECIMAL(14,2)) AS total_amount
+               CAST(txn_count AS BIGINT) AS txn_count,
+               CAST(total_amount AS DECIMAL(38,2)) AS total_amount
         FROM (SELECT b.*, w.window_start, w.window_end, w.txn_count, w.total_amount,
                      row_number() OVER (PARTITION BY txn_id ORDER BY w.window_start) AS rn
               FROM burst_rows b JOIN burst_windows w
@@ -194,9 +193,9 @@ _PARTS: dict[str, tuple[list[str], str]] = {
         ["drain_rows"],
         f"""
         SELECT {_ALERT}, window_start, window_start + INTERVAL 7 DAY AS window_end,
-               'unseen_device_drain' AS fraud_reason, CAST(n AS INTEGER) AS txn_count,
-               CAST(total AS DECIMAL(14,2)) AS total_amount
-        FROM (SELECT *, count(*) OVER g AS n, sum(CAST(amount AS DECIMAL(18,2))) OVER g AS total
+               'unseen_device_drain' AS fraud_reason, CAST(n AS BIGINT) AS txn_count,
+               CAST(total AS DECIMAL(38,2)) AS total_amount
+        FROM (SELECT *, count(*) OVER g AS n, sum(CAST(amount AS DECIMAL(28,2))) OVER g AS total
               FROM drain_rows
               WINDOW g AS (PARTITION BY sender_upi, sender_device_id, window_start))
         WHERE n >= 2""",
@@ -224,7 +223,7 @@ _PARTS: dict[str, tuple[list[str], str]] = {
                CASE WHEN sender_device_id LIKE 'dev%' THEN 'unseen_device_drain'
                     ELSE 'location_anomaly' END AS pattern
         FROM now_txn WHERE sender_device_id LIKE 'dev%' OR sender_state
-          <> {_STATES}[CAST(substr(sender_upi, 5, 4) AS INTEGER) % 15 + 1]""",
+          <> {_STATES}[CAST(regexp_extract(sender_upi, '^user([0-9]+)@', 1) AS BIGINT) % 15 + 1]""",
     ),
     "minute": (
         ["message"],
@@ -242,8 +241,8 @@ _PARTS: dict[str, tuple[list[str], str]] = {
 
 _PAIRS = "txn_id, sender_upi, sender_device_id, receiver_upi, timestamp"
 _MIX = (
-    "count(*) AS n_txns, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount, "
-    "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_amount"
+    "count(*) AS n_txns, sum(CAST(amount AS DECIMAL(28,2))) AS total_amount, "
+    "CAST(sum(CAST(amount AS DECIMAL(28,2))) AS DOUBLE) / count(*) AS mean_amount"
 )
 
 
@@ -401,7 +400,7 @@ _FINAL: dict[str, tuple[list[str], str]] = {
         ["silver"],
         """
         SELECT sender_upi, w AS window_start, w + INTERVAL 12 HOUR AS window_end,
-               count(*) AS txn_count, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount
+               count(*) AS txn_count, sum(CAST(amount AS DECIMAL(28,2))) AS total_amount
         FROM (SELECT sender_upi, amount, unnest(generate_series(
                 time_bucket(INTERVAL 4 HOUR, timestamp, TIMESTAMP '1970-01-01')
                   - INTERVAL 8 HOUR,
@@ -413,7 +412,7 @@ _FINAL: dict[str, tuple[list[str], str]] = {
         ["silver"],
         """
         SELECT txn_id, sender_upi, timestamp, count(*) OVER r AS recent_count,
-               sum(CAST(amount AS DECIMAL(18,2))) OVER r AS recent_amount
+               sum(CAST(amount AS DECIMAL(28,2))) OVER r AS recent_amount
         FROM silver WINDOW r AS (PARTITION BY sender_upi ORDER BY timestamp
           RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""",
     ),

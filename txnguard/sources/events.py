@@ -24,28 +24,33 @@ MERCHANT_CATEGORIES = [
     "fashion", "pharmacy",
 ]
 
+# Payees are a fixed circle of users, whatever the log's size: a rule of the fixture.
 PAYEES = 150
 MERCHANTS = 80
 STRANGERS = 1000
 
 
-
 def _pick(values: list[str], index: str) -> str:
     options = ", ".join(f"'{v}'" for v in values)
-    return f"element_at(array({options}), CAST({index} AS INT) % {len(values)} + 1)"
+    return f"element_at(array({options}), CAST(({index}) % {len(values)} AS INT) + 1)"
+
+
+def _padded(number: str, width: int) -> str:
+    """At least ``width`` digits; a longer number stays whole."""
+    digits = f"CAST({number} AS STRING)"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
 def _address(prefix: str, number: str, width: int, bank: str) -> str:
-    digits = f"lpad(CAST({number} AS STRING), {width}, '0')"
-    return f"concat('{prefix}', {digits}, '@', {_pick(BANK_HANDLES, bank)})"
+    return f"concat('{prefix}', {_padded(number, width)}, '@', {_pick(BANK_HANDLES, bank)})"
 
 
 _NUMBER = "CAST(get_json_object(props, '$.k') AS INT)"
 _PAYEE = f"((user_id + 1 + k) % {PAYEES})"
-_USER = "lpad(CAST(user_id AS STRING), 4, '0')"
+_USER = _padded("user_id", 4)
 _COLUMNS = {
     "kafka_timestamp": "timestampadd(SECOND, if(k = 95, -10800, CAST(event_id % 7 AS INT)), ts)",
-    "txn_id": "concat('txn-', lpad(CAST(event_id AS STRING), 8, '0'))",
+    "txn_id": f"concat('txn-', {_padded('event_id', 8)})",
     "sender_upi": _address("user", "user_id", 4, "user_id"),
     "sender_state": _pick(INDIAN_STATES, "(user_id + if(k = 96, 1, 0))"),
     "sender_device_id": f"if(k >= 97, concat('dev', {_USER}, '_', floor(day(ts) / 8.0)), "
@@ -106,7 +111,7 @@ def with_repeats(txns: DataFrame) -> DataFrame:
 def with_labels(txns: DataFrame) -> DataFrame:
     """Labels for the two shapes the derivation plants: swapped device, moved state."""
     swapped = F.col("sender_device_id").startswith("dev")
-    home = F.expr(_pick(INDIAN_STATES, "substring(sender_upi, 5, 4)"))
+    home = F.expr(_pick(INDIAN_STATES, "CAST(regexp_extract(sender_upi, '^user([0-9]+)@', 1) AS BIGINT)"))
     moved = F.col("sender_state") != home
     pattern = F.when(swapped, "unseen_device_drain").when(moved, "location_anomaly")
     return txns.withColumns({"is_fraud": pattern.isNotNull(), "fraud_pattern": pattern}).select(
