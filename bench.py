@@ -53,7 +53,7 @@ def stream_seconds(spark, folder) -> float:
     silver.write.partitionBy("event_date").parquet(f"{lake}/silver")
     past = profile.history_before(silver, catalog.CUTOFF)
     known = Known(
-        materialise(profile.rule_profile(past)),
+        materialise(profile.spend_profile(past)),
         profile.stored_pairs(past, profile.DEVICE),
         profile.stored_pairs(past, profile.STATE),
     )

@@ -14,6 +14,7 @@ MISSING_PREFIX = "missing_"
 BAD_SENDER = "bad_sender_upi"
 BAD_RECEIVER = "bad_receiver_upi"
 BAD_AMOUNT = "bad_amount"
+HUGE_AMOUNT = "amount_out_of_range"
 NO_CATEGORY = "p2m_without_category"
 NO_TIME = "missing_timestamp"
 NO_OFFSET = "timestamp_without_offset"
@@ -31,6 +32,8 @@ def _bad_address(name: str) -> str:
 
 # NaN sorts above every number in Spark, so it is named.
 _BAD_AMOUNT = "(amount IS NULL OR isnan(amount) OR amount <= 0)"
+# What exact sums take: see EXACT_AMOUNT. Infinity is beyond it.
+_HUGE_AMOUNT = "(NOT isnan(amount) AND amount >= 1e25D)"
 
 FIELD_CHECKS: dict[str, str] = {
     **{MISSING_PREFIX + name: _blank(name) for name in REQUIRED_TEXT},
@@ -38,6 +41,7 @@ FIELD_CHECKS: dict[str, str] = {
     BAD_SENDER: _bad_address("sender_upi"),
     BAD_RECEIVER: _bad_address("receiver_upi"),
     BAD_AMOUNT: _BAD_AMOUNT,
+    HUGE_AMOUNT: f"coalesce({_HUGE_AMOUNT}, false)",
     NO_CATEGORY: f"(receiver_type <=> 'P2M' AND {_blank('receiver_category')})",
 }
 

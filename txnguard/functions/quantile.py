@@ -14,7 +14,8 @@ def _bin(value: Column) -> Column:
 
     There are at most some 90,000 bins over all doubles, whatever the data.
     """
-    size = F.floor(F.log1p(F.abs(value)) * F.lit(BINS_PER_EFOLD))
+    # Infinity gets a bin of its own beyond all others.
+    size = F.floor(F.least(F.log1p(F.abs(value)) * F.lit(BINS_PER_EFOLD), F.lit(1e6)))
     mirrored = F.when(value < 0, -size - 1).otherwise(size).cast("int")
     # Never null for a value, and said so: else a join on it adds a filter to one side only,
     # and the two sides no longer share their exchange.

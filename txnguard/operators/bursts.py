@@ -9,9 +9,9 @@ from txnguard.functions.time import pane, window_spec
 from txnguard.session import materialise
 
 GROUP = ["sender_upi", "sender_device_id"]
-# Sums in decimals do not depend on the order of rows. Sixteen digits before the point; an
-# amount beyond is left out of the sums rather than failing the job.
-EXACT_AMOUNT = "decimal(18,2)"
+# Sums in decimals do not depend on the order of rows. An amount that does not fit breaks the
+# contract; where the contract was not applied, the job fails rather than leaving it out.
+EXACT_AMOUNT = "decimal(28,2)"
 
 
 def crowded(df: DataFrame, length: int, slide: int, min_txns: int) -> DataFrame:
@@ -47,7 +47,7 @@ def windows(
     of payees is ever built, and a hot sender is spread over tasks by payee.
     """
     sliding = F.window("timestamp", *window_spec(length, slide))
-    amount = F.col("amount").try_cast(EXACT_AMOUNT)
+    amount = F.col("amount").cast(EXACT_AMOUNT)
     if min_payees <= 1:
         found = df.groupBy(sliding.alias("window"), *GROUP).agg(
             F.count(F.lit(1)).alias("txn_count"), F.sum(amount).alias("total_amount")

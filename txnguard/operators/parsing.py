@@ -39,13 +39,14 @@ def parse(decoded: DataFrame) -> DataFrame:
     return decoded.withColumn("parsed", F.from_json("json", _WIRE_SCHEMA, options))
 
 
-def flatten(parsed: DataFrame) -> DataFrame:
-    """The payload's own columns; its sender wins over the message key.
+def flatten(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The payload's own columns, and those of the message in ``keep``; the payload's sender wins over
+    the message key.
 
     Unpacked by a generator rather than a projection: a filter on the fields would be
     merged into a projection, and parse the text anew for every field it looks at.
     """
-    kept = [c for c in parsed.columns if c in ("kafka_timestamp", RAW_VIOLATIONS)]
+    kept = [c for c in parsed.columns if c in ("kafka_timestamp", RAW_VIOLATIONS, *keep)]
     rows = parsed.select(*kept, F.inline(F.array("parsed")))
     fields = [
         F.col(name).try_cast("timestamp").alias(name) if name == "timestamp" else F.col(name)

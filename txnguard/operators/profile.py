@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from txnguard.functions.quantile import grouped_median
@@ -14,10 +13,6 @@ DEVICE = "sender_device_id"
 STATE = "sender_state"
 PAYEE = "receiver_upi"
 
-# Longest list kept inside a profile row. Longer ones are null there, and the distinct
-# pairs (``seen_pairs``) answer for those senders.
-LIST_LIMIT = 64
-
 
 def history_before(txns: DataFrame, cutoff: str) -> DataFrame:
     """Settled transactions before the cutoff: later ones must not raise their own baseline."""
@@ -58,44 +53,41 @@ def seen_before(txns: DataFrame, history: DataFrame, attribute: str) -> DataFram
     return txns.join(stored_pairs(history, attribute), [SENDER, attribute], "left_semi")
 
 
-def _value_sets(history: DataFrame, attributes: list[str], listed: list[str]) -> DataFrame:
-    """Per sender: number of distinct values of each attribute, and the short ones as lists.
+def with_new(txns: DataFrame, seen: DataFrame, attribute: str, name: str) -> DataFrame:
+    """Adds whether the sender has not been seen with the attribute. ``seen`` are stored pairs."""
+    marked = seen.withColumn("_seen", F.lit(True))
+    joined = txns.join(marked, [SENDER, attribute], "left")
+    return joined.withColumn(name, F.col("_seen").isNull()).drop("_seen")
+
 
-    All attributes share one pass. Repeats vanish before the shuffle, and the ranking keeps
-    at most a list's length per task, so a sender with any number of rows is no burden.
+def sender_values(history: DataFrame, attributes: list[str]) -> DataFrame:
+    """(sender, kind, value, n): every value a sender was seen with, one per row, and how often.
+
+    All attributes share one pass, and repeats vanish before the shuffle.
     """
     named = [F.struct(F.lit(a).alias("kind"), F.col(a).alias("value")) for a in attributes]
-    values = (
+    return (
         history.select(SENDER, F.explode(F.array(*named)).alias("item"))
         .groupBy(SENDER, F.col("item.kind").alias("kind"), F.col("item.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    sizes = values.groupBy(SENDER, "kind").agg(
-        F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("n_txns")
-    )
-    # All kinds and n are kept in this branch too, so that both share one exchange.
-    rank = F.row_number().over(W.partitionBy(SENDER, "kind").orderBy("value"))
-    lists = (
-        values.withColumn("rank", rank)
-        .filter(F.col("rank") <= LIST_LIMIT)
-        .groupBy(SENDER, "kind")
-        .agg(
-            F.array_sort(F.collect_list("value")).alias("first_values"),
-            F.sum("n").alias("listed_txns"),
-        )
-    )
-    fits = F.col("n_txns") == F.col("listed_txns")
-    both = sizes.join(lists, [SENDER, "kind"], "left").withColumn(
-        "listed_values", F.when(fits, F.col("first_values"))
-    )
+
+
+def _value_sets(history: DataFrame, attributes: list[str], listed: list[str]) -> DataFrame:
+    """Per sender: number of distinct values of each attribute, and all values of some as lists.
+
+    A list is as long as one sender has devices or states. Rules do not look at it: they join
+    the distinct pairs.
+    """
+    values = sender_values(history, attributes)
 
     def of(attribute: str, column: str) -> Column:
-        return F.max(F.when(F.col("kind") == attribute, F.col(column)))
+        return F.when(F.col("kind") == attribute, F.col(column))
 
-    return both.groupBy(SENDER).agg(
-        F.max("n_txns").alias("n_txns"),
-        *[of(a, "distinct_values").alias(_SIZE_NAMES[a]) for a in attributes],
-        *[of(a, "listed_values").alias(_LIST_NAMES[a]) for a in listed],
+    return values.groupBy(SENDER).agg(
+        F.sum(of(attributes[0], "n")).alias("n_txns"),
+        *[F.count(of(a, "n")).alias(_SIZE_NAMES[a]) for a in attributes],
+        *[F.array_sort(F.collect_list(of(a, "value"))).alias(_LIST_NAMES[a]) for a in listed],
     )
 
 
@@ -110,18 +102,11 @@ def sender_profile(history: DataFrame) -> DataFrame:
 
 
 def spend_profile(history: DataFrame) -> DataFrame:
-    """Typical spend only, for rules on amounts."""
-    return grouped_median(history, SENDER, "amount", "typical_spend")
-
-
-def rule_profile(history: DataFrame) -> DataFrame:
-    """The part of the profile the rules look at; payees, the widest part, stay out.
+    """Typical spend only: what the rules look at, beside the distinct pairs.
 
     Store it before joining it with traffic, as for ``stored_pairs``.
     """
-    spend = spend_profile(history)
-    sets = _value_sets(history, [DEVICE, STATE], [DEVICE, STATE])
-    return spend.join(sets.select(SENDER, "devices", "states"), SENDER)
+    return grouped_median(history, SENDER, "amount", "typical_spend")
 
 
 def enrich(txns: DataFrame, profile: DataFrame, spend_floor: float) -> DataFrame:

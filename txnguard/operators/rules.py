@@ -20,7 +20,7 @@ from txnguard.schema import (
 from txnguard.session import materialise
 
 
-def _alerts(df: DataFrame, reason: str) -> DataFrame:
+def _alerts(df: DataFrame, reason: str | Column) -> DataFrame:
     """Rows in alert form. ``df`` has the window columns if the rule looks at windows."""
     if "txn_count" not in df.columns:
         df = df.withColumns(
@@ -33,30 +33,19 @@ def _alerts(df: DataFrame, reason: str) -> DataFrame:
         )
     return df.withColumns(
         {
-            # Past the alert table's precision an amount shows as null; the alert stays.
-            "amount": F.col("amount").try_cast("decimal(12,2)"),
-            "total_amount": F.col("total_amount").try_cast("decimal(14,2)"),
-            "txn_count": F.col("txn_count").try_cast("int"),
+            "amount": F.col("amount").cast("decimal(28,2)"),
+            "total_amount": F.col("total_amount").cast("decimal(38,2)"),
+            "txn_count": F.col("txn_count").cast("long"),
             "txn_timestamp": F.col("timestamp"),
-            "fraud_reason": F.lit(reason),
+            "fraud_reason": reason if isinstance(reason, Column) else F.lit(reason),
         }
     ).select(ALERT_FIELDS)
 
 
-def _not_in_history(
-    df: DataFrame, attribute: str, listed: str, seen: DataFrame | None
-) -> DataFrame:
-    """Rows of senders with a profile whose attribute is new to them.
-
-    The list in the profile answers where it is kept. Senders with too many values for a
-    list are answered by an anti-join with the distinct pairs ``seen``; it may be left out
-    if there are no such senders.
-    """
-    by_list = df.filter(F.col(listed).isNotNull() & ~F.array_contains(listed, F.col(attribute)))
-    if seen is None:
-        return by_list
-    long_list = df.filter(F.col("typical_spend").isNotNull() & F.col(listed).isNull())
-    return by_list.unionByName(long_list.join(seen, [SENDER, attribute], "left_anti"))
+def _not_in_history(df: DataFrame, attribute: str, seen: DataFrame) -> DataFrame:
+    """Rows of senders with a profile whose attribute is not among their distinct pairs ``seen``."""
+    known = df.filter(F.col("typical_spend").isNotNull() & F.col(attribute).isNotNull())
+    return known.join(seen, [SENDER, attribute], "left_anti")
 
 
 def _is_odd_hour(enriched: DataFrame, p: RuleParams) -> Column:
@@ -74,9 +63,25 @@ def amount_anomaly(enriched: DataFrame, p: RuleParams) -> DataFrame:
     return _alerts(enriched.filter(F.col("ratio") >= p.amount_ratio), AMOUNT)
 
 
-def location(enriched: DataFrame, seen_states: DataFrame | None) -> DataFrame:
+def location(enriched: DataFrame, seen_states: DataFrame) -> DataFrame:
     """A state the sender has not paid from before."""
-    return _alerts(_not_in_history(enriched, STATE, "states", seen_states), LOCATION)
+    return _alerts(_not_in_history(enriched, STATE, seen_states), LOCATION)
+
+
+def _is_new_state() -> Column:
+    return F.col("typical_spend").isNotNull() & F.col(STATE).isNotNull() & F.col("new_state")
+
+
+def point_alerts(marked: DataFrame, p: RuleParams) -> DataFrame:
+    """The three point rules in one pass. ``marked`` has ``ratio`` and ``new_state``."""
+    reasons = F.array_compact(
+        F.array(
+            F.when(F.col("ratio") >= p.amount_ratio, AMOUNT),
+            F.when(_is_odd_hour(marked, p), ODD_HOUR),
+            F.when(_is_new_state(), LOCATION),
+        )
+    )
+    return _alerts(marked.withColumn("reason", F.explode(reasons)), F.col("reason"))
 
 
 def _settled_transfers() -> Column:
@@ -109,11 +114,9 @@ def rapid_fire(txns: DataFrame, p: RuleParams) -> DataFrame:
     return burst_alerts(near, burst_windows(near, p), p)
 
 
-def drain_candidates(
-    enriched: DataFrame, seen_devices: DataFrame | None, p: RuleParams
-) -> DataFrame:
+def drain_candidates(enriched: DataFrame, seen_devices: DataFrame, p: RuleParams) -> DataFrame:
     rows = enriched.filter(_settled_transfers() & (F.col("ratio") >= p.drain_ratio))
-    return _not_in_history(rows, DEVICE, "devices", seen_devices)
+    return _not_in_history(rows, DEVICE, seen_devices)
 
 
 def drain_windows(candidates: DataFrame, p: RuleParams) -> DataFrame:
@@ -125,7 +128,7 @@ def drain_alerts(candidates: DataFrame, hits: DataFrame, p: RuleParams) -> DataF
 
 
 def unseen_device_drain(
-    enriched: DataFrame, seen_devices: DataFrame | None, p: RuleParams
+    enriched: DataFrame, seen_devices: DataFrame, p: RuleParams
 ) -> DataFrame:
     """Several high transfers within a window, from a device new to the sender.
 
@@ -135,12 +138,10 @@ def unseen_device_drain(
     return drain_alerts(candidates, drain_windows(candidates, p), p)
 
 
-def suspects(enriched: DataFrame, p: RuleParams) -> DataFrame:
+def suspects(marked: DataFrame, p: RuleParams) -> DataFrame:
     """Everything a rule on enriched rows could report: usually a small part of the traffic."""
-    listed_state = F.array_contains("states", F.col(STATE))
-    new_state = F.col("typical_spend").isNotNull() & ~F.coalesce(listed_state, F.lit(False))
-    return enriched.filter(
+    return marked.filter(
         (F.col("ratio") >= min(p.amount_ratio, p.drain_ratio))
-        | _is_odd_hour(enriched, p)
-        | new_state
+        | _is_odd_hour(marked, p)
+        | _is_new_state()
     )

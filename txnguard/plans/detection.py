@@ -14,29 +14,21 @@ from txnguard.session import materialise
 
 @dataclass(frozen=True)
 class Suspects:
-    """Suspicious transactions with their profile, and what senders were seen with.
-
-    The pairs are only there if some suspect's sender has too many values for a list.
-    """
+    """Suspicious transactions with their profile, and what senders were seen with."""
 
     rows: DataFrame
-    seen_devices: DataFrame | None
-    seen_states: DataFrame | None
+    seen_devices: DataFrame
+    seen_states: DataFrame
 
 
 def find_suspects(txns: DataFrame, history: DataFrame, p: RuleParams) -> Suspects:
-    """One join by sender over all traffic; the small rest is written down for the rules."""
-    known = materialise(profile.rule_profile(history))
+    """All traffic joined with profile and known states; the small rest is written down."""
+    known = materialise(profile.spend_profile(history))
+    states = profile.stored_pairs(history, profile.STATE)
     enriched = profile.enrich(txns, known, p.spend_floor)
-    rows = materialise(rules.suspects(enriched, p))
-    unlisted = rows.filter("typical_spend IS NOT NULL AND (devices IS NULL OR states IS NULL)")
-    if unlisted.isEmpty():
-        return Suspects(rows, None, None)
-    return Suspects(
-        rows,
-        profile.stored_pairs(history, profile.DEVICE),
-        profile.stored_pairs(history, profile.STATE),
-    )
+    marked = profile.with_new(enriched, states, profile.STATE, "new_state")
+    rows = materialise(rules.suspects(marked, p))
+    return Suspects(rows, profile.stored_pairs(history, profile.DEVICE), states)
 
 
 def detect(txns: DataFrame, history: DataFrame, p: RuleParams) -> DataFrame:
@@ -55,9 +47,7 @@ def suspect_alerts(found: Suspects, p: RuleParams) -> list[DataFrame]:
     """Alerts of the four rules that hold a transaction against its sender's profile."""
     return [
         rules.unseen_device_drain(found.rows, found.seen_devices, p),
-        rules.amount_anomaly(found.rows, p),
-        rules.odd_hour(found.rows, p),
-        rules.location(found.rows, found.seen_states),
+        rules.point_alerts(found.rows, p),
     ]
 
 

@@ -41,18 +41,20 @@ BRONZE_SCHEMA = T.StructType(
     [T.StructField("kafka_timestamp", T.TimestampType()), *TXN_SCHEMA.fields]
 )
 
+# Names of the alert columns and of the reasons. Numbers are wide enough for any valid
+# transaction; the database sink narrows them.
 ALERT_SCHEMA = T.StructType(
     [
         T.StructField("txn_id", T.StringType()),
         T.StructField("sender_upi", T.StringType()),
         T.StructField("receiver_upi", T.StringType()),
-        T.StructField("amount", T.DecimalType(12, 2)),
+        T.StructField("amount", T.DecimalType(28, 2)),
         T.StructField("txn_timestamp", T.TimestampType()),
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
         T.StructField("fraud_reason", T.StringType()),
-        T.StructField("txn_count", T.IntegerType()),
-        T.StructField("total_amount", T.DecimalType(14, 2)),
+        T.StructField("txn_count", T.LongType()),
+        T.StructField("total_amount", T.DecimalType(38, 2)),
     ]
 )
 ALERT_FIELDS = ALERT_SCHEMA.fieldNames()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnguard.schema import ALERT_FIELDS
 
@@ -52,6 +53,12 @@ def write_database(
     )
 
 
+def alert_row_types(alerts: DataFrame) -> DataFrame:
+    """Alerts in the column types of the database's table; a number that does not fit is an error."""
+    narrow = {"amount": "decimal(12,2)", "txn_count": "int", "total_amount": "decimal(14,2)"}
+    return alerts.withColumns({name: F.col(name).cast(kind) for name, kind in narrow.items()})
+
+
 def merge_statement(staging: str, target: str) -> str:
     """Moves staged alerts over, leaving known transactions alone (unique key on txn_id)."""
     columns = ", ".join(ALERT_FIELDS)
