@@ -1,6 +1,7 @@
 """Ingest, detection and alert table as streams, over files."""
 
 import json
+import time
 from datetime import timedelta
 
 import pytest
@@ -83,7 +84,12 @@ def lake(spark, tmp_path):
 
 
 def known_from(spark, rows):
-    return Known(profile.rule_profile(frame(spark, rows)))
+    past = frame(spark, rows)
+    return Known(
+        profile.spend_profile(past),
+        profile.stored_pairs(past, profile.DEVICE),
+        profile.stored_pairs(past, profile.STATE),
+    )
 
 
 def test_ingest_keeps_valid_rows_and_sets_the_rest_aside(spark, lake):
@@ -108,6 +114,9 @@ def test_ingest_keeps_valid_rows_and_sets_the_rest_aside(spark, lake):
     assert aside["naive"] == ["timestamp_without_offset"]
     assert "missing_sender_state" in aside["s"] and "missing_timestamp" in aside["s"]
     assert "wrong_json_type" in aside[None]
+    raw = {(r.raw_key, r.raw_value) for r in spark.read.parquet(lake.at("quarantine")).collect()}
+    assert ("x", "{broken") in raw
+    assert spark.read.parquet(lake.at("bronze")).filter("size(violations) = 0 AND raw_value IS NOT NULL").isEmpty()
 
 
 def test_restart_reads_only_what_is_new(spark, lake):
@@ -188,8 +197,8 @@ class FailingOnce(AlertTable):
 
     failed = False
 
-    def write_batch(self, found, batch_id):
-        super().write_batch(found, batch_id)
+    def write_batch(self, found, batch_id, query_id):
+        super().write_batch(found, batch_id, query_id)
         if not FailingOnce.failed:
             FailingOnce.failed = True
             raise RuntimeError("executor of the sink is gone")
@@ -228,6 +237,28 @@ def test_same_batch_written_again_leaves_the_table(spark, tmp_path):
     assert {r.txn_id for r in table.read().collect()} == {f"b{i}" for i in range(8)} - {"b3"}
 
 
+def test_another_checkpoint_replaces_nothing(spark, tmp_path):
+    table = AlertTable(spark, str(tmp_path / "alerts"))
+    for prefix, query_id in (("b", "one"), ("c", "two")):
+        rows = detect(frame(spark, burst(8, prefix=prefix)), frame(spark, history()), RuleParams())
+        table.write_batch(rows, 0, query_id)
+    assert table.read().count() == 16
+
+
+def test_bursts_around_midnight_whatever_the_clock_of_the_driver(spark, lake, monkeypatch):
+    midnight = NOON.replace(hour=5, minute=30, second=0)
+    batches = [burst(8, prefix="x", start=midnight - timedelta(seconds=90)), burst(8, prefix="y", start=midnight + timedelta(minutes=2)), FLUSH, FLUSH_AGAIN]
+    lake.silver_from(*batches)
+    monkeypatch.setenv("TZ", "Asia/Kolkata")
+    time.tzset()
+    try:
+        table, _ = lake.detect(known_from(spark, history()))
+        assert {r.txn_id for r in table.read().collect()} == {f"{p}{i}" for p in "xy" for i in range(8)}
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_late_rows_are_dropped_and_counted(spark, lake):
     late = burst(7, prefix="late", start=NOON)
     last = [txn(txn_id="z", timestamp=NOON + timedelta(hours=2), amount=100.0)]

@@ -11,14 +11,15 @@ from txnguard.schema import ALERT_FIELDS
 
 
 class AlertTable:
-    """Parquet, partitioned by day of the transaction and by micro-batch.
+    """Parquet, partitioned by day of the transaction, by query and by its micro-batch.
 
-    A batch replaces exactly its own partitions, and looks for known transactions in those
+    Batches are numbered anew for each checkpoint, so the query's id, which is kept in the
+    checkpoint, tells them apart. A batch replaces exactly its own partitions, and looks for known transactions in those
     of other batches only. So the same batch written again leaves the same table. A
     transaction has one time, hence one day: only the days in the batch are read.
     """
 
-    PARTITIONS = ["txn_date", "batch_id"]
+    PARTITIONS = ["txn_date", "query_id", "batch_id"]
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -33,7 +34,7 @@ class AlertTable:
                 return None
             raise
 
-    def write_batch(self, found: DataFrame, batch_id: int) -> None:
+    def write_batch(self, found: DataFrame, batch_id: int, query_id: str = "batch") -> None:
         """First writer wins, as with an insert that does nothing on a known key."""
         fresh = alerts.one_per_txn(found).withColumn("txn_date", F.to_date("txn_timestamp"))
         fresh = fresh.persist()
@@ -43,14 +44,19 @@ class AlertTable:
                 return
             stored = self._load(self.path)
             if stored is not None:
-                others = stored.filter(
-                    F.col("txn_date").between(first, last) & (F.col("batch_id") != batch_id)
-                )
+                own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+                others = stored.filter(F.col("txn_date").between(first, last) & ~own)
                 new = alerts.not_in(fresh, others)
             else:
                 new = fresh
             (
-                new.withColumns({"created_at": F.current_timestamp(), "batch_id": F.lit(batch_id)})
+                new.withColumns(
+                    {
+                        "created_at": F.current_timestamp(),
+                        "query_id": F.lit(query_id),
+                        "batch_id": F.lit(batch_id),
+                    }
+                )
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*self.PARTITIONS)

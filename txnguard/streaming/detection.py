@@ -23,8 +23,8 @@ class Known:
     """Static tables the stream is held against. See ``profile`` for how they are made."""
 
     profile: DataFrame
-    seen_devices: DataFrame | None = None
-    seen_states: DataFrame | None = None
+    seen_devices: DataFrame
+    seen_states: DataFrame
 
 
 def findings(stream: DataFrame, known: Known, p: RuleParams) -> DataFrame:
@@ -38,11 +38,8 @@ def findings(stream: DataFrame, known: Known, p: RuleParams) -> DataFrame:
     timely = reports.within_skew(stream, SKEW_SECONDS).withWatermark("timestamp", WATERMARK)
     timely_enriched = profile.enrich(timely, known.profile, p.spend_floor)
 
-    points = [
-        rules.amount_anomaly(enriched, p),
-        rules.odd_hour(enriched, p),
-        rules.location(enriched, known.seen_states),
-    ]
+    marked = profile.with_new(enriched, known.seen_states, profile.STATE, "new_state")
+    found = rules.point_alerts(marked, p)
     drain_rows = rules.drain_candidates(timely_enriched, known.seen_devices, p)
     windows = [
         rules.drain_windows(drain_rows, p).withColumn("fraud_reason", F.lit(DEVICE_DRAIN)),
@@ -50,27 +47,24 @@ def findings(stream: DataFrame, known: Known, p: RuleParams) -> DataFrame:
             "fraud_reason", F.lit(RAPID_FIRE)
         ),
     ]
-    found = points[0]
-    for more in points[1:]:
-        found = found.unionByName(more)
     for more in windows:
-        more = more.withColumns(
-            {
-                "txn_count": F.col("txn_count").try_cast("int"),
-                "total_amount": F.col("total_amount").try_cast("decimal(14,2)"),
-            }
-        )
         found = found.unionByName(more, allowMissingColumns=True)
     return found
 
 
 def _between(silver: DataFrame, hits: DataFrame) -> DataFrame | None:
-    """Silver rows in the time the windows span: whole days are pruned, then row groups."""
-    first, last = hits.agg(F.min("window_start"), F.max("window_end")).first()
-    if first is None:
+    """Silver rows in the time the windows span: whole days are pruned, then row groups.
+
+    The bounds travel as microseconds, so the zone of the driver's clock plays no part.
+    """
+    bounds = hits.agg(
+        F.unix_micros(F.min("window_start")).alias("first"), F.unix_micros(F.max("window_end")).alias("last")
+    ).first()
+    if bounds["first"] is None:
         return None
+    first, last = (F.timestamp_micros(F.lit(bounds[name])) for name in ("first", "last"))
     return silver.filter(
-        F.col(EVENT_DATE).between(first.date(), last.date())
+        F.col(EVENT_DATE).between(F.to_date(first), F.to_date(last))
         & (F.col("timestamp") >= first)
         & (F.col("timestamp") < last)
     )
@@ -110,12 +104,16 @@ def alert_writer(
     fmt: str = "parquet",
 ) -> DataStreamWriter:
     """The detection query. ``stream`` is the silver table at ``silver_path`` as a stream."""
+    query_ids: list[str] = []
 
     def write(found: DataFrame, batch_id: int) -> None:
+        if not query_ids:
+            # Batches are numbered per checkpoint, which keeps its query's id.
+            query_ids.append(spark.read.json(f"{checkpoint}/metadata").first()["id"])
         found = found.persist()
         try:
             silver = spark.read.format(fmt).load(silver_path)
-            table.write_batch(alerts_of_batch(found, silver, known, p), batch_id)
+            table.write_batch(alerts_of_batch(found, silver, known, p), batch_id, query_ids[0])
         finally:
             found.unpersist()
 

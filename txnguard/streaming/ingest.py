@@ -19,6 +19,8 @@ BRONZE_TABLE_SCHEMA = T.StructType(
     [
         *BRONZE_SCHEMA.fields,
         T.StructField("violations", T.ArrayType(T.StringType())),
+        T.StructField("raw_key", T.StringType()),
+        T.StructField("raw_value", T.StringType()),
         T.StructField("arrival_date", T.DateType()),
     ]
 )
@@ -26,14 +28,24 @@ SILVER_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(EVENT_DATE, T
 
 
 def bronze_rows(messages: DataFrame) -> DataFrame:
-    """Messages as typed rows with their violations; batch or stream."""
+    """Messages as typed rows with their violations; batch or stream.
+
+    What breaks the contract keeps key and text as sent, to be looked at or sent again.
+    """
     parsed = parsing.with_raw_violations(parsing.parse(parsing.decode(messages)))
-    checked = contract.with_violations(parsing.flatten(parsed))
-    return checked.withColumn("arrival_date", F.to_date("kafka_timestamp"))
+    checked = contract.with_violations(parsing.flatten(parsed, keep=("message_key", "json")))
+    broken = F.size("violations") > 0
+    return checked.select(
+        *BRONZE_SCHEMA.fieldNames(),
+        "violations",
+        F.when(broken, F.col("message_key")).alias("raw_key"),
+        F.when(broken, F.col("json")).alias("raw_value"),
+        F.to_date("kafka_timestamp").alias("arrival_date"),
+    )
 
 
 def silver_rows(bronze: DataFrame) -> DataFrame:
-    kept = contract.accepted(bronze).drop("arrival_date")
+    kept = contract.accepted(bronze).drop("arrival_date", "raw_key", "raw_value")
     return kept.withColumn(EVENT_DATE, F.to_date("timestamp"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections import deque
 
@@ -17,7 +18,7 @@ METRICS_SCHEMA = (
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last ``keep`` metrics rows; all go to the log."""
+    """Keeps the last ``keep`` metrics rows, no more; every one goes to the log as a line of JSON."""
 
     def __init__(self, keep: int = 1000) -> None:
         super().__init__()
@@ -25,7 +26,7 @@ class ProgressLog(StreamingQueryListener):
         self.ended: deque[tuple] = deque(maxlen=keep)
 
     def onQueryStarted(self, event) -> None:  # noqa: N802 - names are given by Spark
-        log.info("query started: %s", event.id)
+        log.info(json.dumps({"event": "start", "query": str(event.id)}))
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = event.progress
@@ -34,19 +35,18 @@ class ProgressLog(StreamingQueryListener):
                   if "avgOffsetsBehindLatest" in (s.metrics or {})]
         lag = max(map(float, behind)) if behind else None
         self.rows.append((p.name, p.batchId, p.numInputRows, p.inputRowsPerSecond, late, lag))
-        log.info(
-            "batchId=%s numInputRows=%s rowsPerSec=%s", p.batchId, p.numInputRows,
-            p.inputRowsPerSecond,
-        )
+        names = [part.split()[0] for part in METRICS_SCHEMA.split(", ")]
+        log.info(json.dumps(dict(zip(names, self.rows[-1], strict=True))))
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
-        log.debug("query idle: %s", event.id)
+        log.debug(json.dumps({"event": "idle", "query": str(event.id)}))
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         self.ended.append((str(event.id), event.exception))
-        log.info("query terminated: %s exception=%s", event.id, event.exception)
+        log.info(json.dumps({"event": "end", "query": str(event.id), "error": event.exception}))
 
     def metrics(self, spark: SparkSession) -> DataFrame:
+        """The last ``keep`` rows."""
         return spark.createDataFrame(list(self.rows), METRICS_SCHEMA)
 
 
