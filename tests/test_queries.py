@@ -5,14 +5,17 @@ import importlib
 import pytest
 from compare import duck_rows, spark_rows
 
+from txnguard.plans.catalog import QUERIES
+from txnguard.plans.oracle import ORACLE_SQL as SQL
+
 entry_points = importlib.import_module("__spark_entry__")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
 FOLDER = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert SQL.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("key", list(QUERIES))

@@ -1,17 +1,23 @@
 """The registered queries in plain SQL for DuckDB, written from the definitions.
 
-Only the fixed value lists are shared with the Spark side: windows are listed one by one, medians are
-ranks.
+Only the fixed value lists are shared with the Spark side: windows are listed one by one,
+medians are ranks.
 """
 
 from __future__ import annotations
 
 from txnguard.sources.events import BANK_HANDLES, INDIAN_STATES, MERCHANT_CATEGORIES
 
+
 def _listed(values: list[str]) -> str:
     return "[" + ",".join(f"'{v}'" for v in values) + "]"
 
 
+def _padded(number: str, width: int) -> str:
+    digits = f"CAST({number} AS VARCHAR)"
+    return f"lpad({digits}, CAST(greatest({width}, length({digits})) AS INTEGER), '0')"
+
+
 _STATES, _BANKS, _CATEGORIES = map(_listed, (INDIAN_STATES, BANK_HANDLES, MERCHANT_CATEGORIES))
 
 _TXN_COLUMNS = (
@@ -36,23 +42,23 @@ _PARTS: dict[str, tuple[list[str], str]] = {
         f"""
         SELECT ts + to_seconds(CASE WHEN k = 95 THEN -10800 ELSE event_id % 7 END)
                  AS kafka_timestamp,
-               'txn-' || lpad(CAST(event_id AS VARCHAR), greatest(8, length(CAST(event_id AS VARCHAR))), '0') AS txn_id,
+               'txn-' || {_padded('event_id', 8)} AS txn_id,
                ts AS timestamp,
-               'user' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '@'
+               'user' || {_padded('user_id', 4)} || '@'
                  || {_BANKS}[user_id % 7 + 1] AS sender_upi,
                {_STATES}[(user_id + CASE WHEN k = 96 THEN 1 ELSE 0 END) % 15 + 1] AS sender_state,
                CASE WHEN k >= 97
-                    THEN 'dev' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '_'
+                    THEN 'dev' || {_padded('user_id', 4)} || '_'
                          || CAST(day(ts) // 8 AS VARCHAR)
-                    ELSE 'user' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0') || '_'
+                    ELSE 'user' || {_padded('user_id', 4)} || '_'
                          || CAST(k % (1 + user_id % 3) AS VARCHAR) END AS sender_device_id,
                CASE WHEN k % 5 < 3
-                    THEN 'merchant' || lpad(CAST(event_id % 80 AS VARCHAR), greatest(3, length(CAST(event_id % 80 AS VARCHAR))), '0') || '@'
+                    THEN 'merchant' || {_padded('event_id % 80', 3)} || '@'
                          || {_BANKS}[event_id % 7 + 1]
                     WHEN k >= 90
-                    THEN 'stranger' || lpad(CAST(event_id % 1000 AS VARCHAR), greatest(4, length(CAST(event_id % 1000 AS VARCHAR))), '0') || '@'
+                    THEN 'stranger' || {_padded('event_id % 1000', 4)} || '@'
                          || {_BANKS}[event_id % 7 + 1]
-                    ELSE 'user' || lpad(CAST((user_id + 1 + k) % 150 AS VARCHAR), greatest(4, length(CAST((user_id + 1 + k) % 150 AS VARCHAR))), '0') || '@'
+                    ELSE 'user' || {_padded('(user_id + 1 + k) % 150', 4)} || '@'
                          || {_BANKS}[((user_id + 1 + k) % 150) % 7 + 1] END AS receiver_upi,
                CASE WHEN k % 5 < 3 THEN 'P2M' ELSE 'P2P' END AS receiver_type,
                CASE WHEN k % 5 < 3 THEN {_CATEGORIES}[event_id % 12 + 1] END AS receiver_category,
