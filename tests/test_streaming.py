@@ -131,6 +131,21 @@ def test_restart_reads_only_what_is_new(spark, lake):
         assert ids.groupBy("txn_id").count().filter("count > 1").count() == 0
 
 
+def test_rows_behind_the_watermark_are_found_again(spark, lake):
+    """One partition of the topic lags: its rows come behind the watermark, and are not lost."""
+    ahead = [message(txn(txn_id=f"a{i}"), at=NOON + timedelta(hours=1 + i)) for i in range(2)]
+    for rows in (ahead, [message(txn(txn_id="lagging")), message(txn(txn_id="a0"))]):
+        add_messages(spark, lake.at("topic"), rows)
+        lake.ingest()
+    bronze = spark.read.parquet(lake.at("bronze"))
+    silver = spark.read.parquet(lake.at("silver"))
+    late = ingest.missing_in_silver(bronze, silver)
+    assert late.schema.names == ingest.SILVER_SCHEMA.names
+    assert {r.txn_id for r in silver.union(late.select(silver.columns)).collect()} == {"a0", "a1", "lagging"}
+    assert late.select("txn_id").distinct().count() == late.count()
+    assert ingest.missing_in_silver(bronze, silver.union(late.select(silver.columns))).isEmpty()
+
+
 FLUSH = [txn(txn_id="flush", timestamp=NOON + timedelta(minutes=30), amount=100.0)]
 FLUSH_AGAIN = [txn(txn_id="flush2", timestamp=NOON + timedelta(minutes=60), amount=100.0)]
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from txnguard.operators import contract, parsing
+from txnguard.operators import contract, parsing, reports
 from txnguard.schema import BRONZE_SCHEMA
 
 EVENT_DATE = "event_date"
@@ -56,6 +56,17 @@ def without_repeats(silver_stream: DataFrame, within: str = "10 minutes") -> Dat
     )
 
 
+def missing_in_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Batch: valid rows of bronze whose id silver lacks, one per id, the first to arrive.
+
+    The stream drops what arrives behind its watermark, as a lagging topic partition does. Appended to
+    silver from time to time, these rows close the gap; run again, it finds nothing. Cut both tables to
+    the days in question first.
+    """
+    late = silver_rows(bronze).join(silver.select("txn_id").distinct(), "txn_id", "left_anti")
+    return reports.first_of_each_id(late).select(SILVER_SCHEMA.fieldNames())
+
+
 def append(
     rows: DataFrame,
     path: str,
