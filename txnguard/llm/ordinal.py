@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnguard.llm.sampling import thinned
 from txnguard.llm.words import Words, find_words, mix, row_slices
 
 BITS = 18
@@ -122,7 +123,8 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     source = source.where(F.length("text") <= MAX_CHARS)
     texts, grade, weight = [], [], []
     for g in sorted(total):
-        some = known.where(F.col("grade") == g).distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+        these = known.where(F.col("grade") == g).withColumn("h", F.xxhash64("id"))
+        some = thinned(these, total[g], sample).distinct().orderBy("h", "id").limit(sample).drop("h")
         rows = sorted(r["text"] for r in source.join(F.broadcast(some), "id").select("text").limit(2 * sample).collect())
         texts += rows
         grade += [g] * len(rows)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnguard.llm.sampling import thinned
+
 KINDS = ("email", "ip", "card", "phone")
 #: Atoms of the longest entity, and the least marginal of a span that is added.
 MOST_ATOMS, SURE = 24, 0.75
@@ -297,15 +299,12 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DOCS) ->
     """A model from at most ``sample`` texts of up to 20,000 characters that hold digits or an @; which
     ones is decided by a hash of the text, so reruns agree. Without such texts nothing is added."""
     text = F.col(text_col).cast("string")
-    rows = (
-        docs.select(text.alias("text"))
-        .where((F.length("text") <= MAX_CHARS) & F.col("text").rlike("@|[0-9][0-9 .()-]{5,}"))
-        .select("text", F.xxhash64("text").alias("h"))
-        .orderBy("h", "text")
-        .limit(sample)
-        .collect()
+    useful = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).where(
+        (F.length("text") <= MAX_CHARS) & F.col("text").rlike("@|[0-9][0-9 .()-]{5,}")
     )
-    return fit(sorted({r["text"] for r in rows}))
+    few = thinned(useful, useful.count(), sample)
+    rows = few.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(sample).collect()
+    return fit([r["text"] for r in rows])
 
 
 def added_spans(text: str, base: list[Span], judge) -> list[Span]:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnguard.llm.sampling import thinned
 from txnguard.llm.words import ALPHANUMERIC, LOWER, Words, column_bytes, find_words, mix, row_slices
 
 BITS = 18
@@ -200,7 +201,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     for label in (0, 1):
         total = count.get(label, 0)
         # Twice the sample by hash of the id, as some are dropped; few enough to be broadcast.
-        some = known.where(F.col("toxic") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(2 * sample)
+        these = known.where(F.col("toxic") == label).withColumn("h", F.xxhash64("id"))
+        some = thinned(these, total, 2 * sample).distinct().orderBy("h", "id").limit(2 * sample).drop("h")
         rows = (
             source.join(F.broadcast(some), "id")
             .groupBy(F.xxhash64(F.substring("text", 1, 64)).alias("h"))
