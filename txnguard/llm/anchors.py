@@ -124,7 +124,7 @@ def _deal(pick: Callable, parts: int, smaller: bool):
                     entries[c] = part.column(c).to_numpy()[row]
                 held.append(entries)
                 words_held += len(entries)
-                if words_held > 3_000_000:
+                if words_held > 1_500_000:
                     yield from send(np.concatenate(held))
                     held, words_held = [], 0
             if held:
@@ -179,12 +179,12 @@ def _compare(parts: int, smaller: bool):
     """What is repeated over all batches, from the packed hashes of one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, list[np.ndarray]] = {}
+        blocks: dict[int, list[bytes]] = {}
         passed: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for part, owner, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if owner is None:
-                    blocks.setdefault(part, []).append(_unpack(data))
+                    blocks.setdefault(part, []).append(data)
                 else:
                     own = passed.setdefault(owner, [])
                     own.append(np.frombuffer(data, np.int32))
@@ -192,7 +192,7 @@ def _compare(parts: int, smaller: bool):
                         own[:] = [np.unique(np.concatenate(own))]
         rows = [(0, owner, np.unique(np.concatenate(x)).tobytes()) for owner, x in passed.items()]
         for part in list(blocks):
-            told, _ = _repeated(np.concatenate(blocks.pop(part)), smaller)
+            told, _ = _repeated(np.concatenate([_unpack(x) for x in blocks.pop(part)]), smaller)
             rows += _by_owner(told, parts)
         for i in range(0, len(rows), 2000):
             yield _emit(rows[i : i + 2000])
