@@ -121,7 +121,7 @@ def _sign(bands: int, band_rows: int, width: int):
                 offsets = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size), keys], ["digest", "size", "keys"]
+                    [part.column(0), pa.array(size, pa.float64()), keys], ["digest", "size", "keys"]
                 )
 
     return run
@@ -154,7 +154,8 @@ def _similarity(width: int):
 
 
 def _apart(similarity: float, width: int):
-    """Links between strays and members of a block of a bucket that are in different components."""
+    """Links between strays and members of a block of a bucket that are in different components: of
+    those found, a set that joins the same components and closes no circle."""
 
     def run(table: pa.Table) -> pa.Table:
         node, part, stray = (table.column(c).to_numpy() for c in ("node", "part", "stray"))
@@ -174,6 +175,14 @@ def _apart(similarity: float, width: int):
         first = np.concatenate([[0], np.cumsum(held)])
         mine = np.zeros(len(held), bool)
         a, b = [], []
+        above: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while (up := above.get(c, c)) != c:
+                above[c] = above.get(up, up)
+                c = up
+            return c
+
         for x in np.flatnonzero(stray & (size > 0)):
             own = element[start[x] : start[x] + size[x]]
             need = math.ceil(similarity * size[x] - 1e-9)
@@ -187,8 +196,12 @@ def _apart(similarity: float, width: int):
                 both = np.add.reduceat(mine[element[flat]].astype(np.int64), np.cumsum(size[near]) - size[near])
                 mine[own] = False
                 close = near[both >= (similarity - 1e-12) * (size[x] + size[near] - both)]
-                a += [min(node[x], node[y]) for y in close]
-                b += [max(node[x], node[y]) for y in close]
+                for y in close:
+                    one, other = top(int(part[x])), top(int(part[y]))
+                    if one != other:
+                        above[one] = other
+                        a.append(min(node[x], node[y]))
+                        b.append(max(node[x], node[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
