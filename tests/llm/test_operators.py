@@ -209,6 +209,35 @@ def test_toxic_spans(spark, odd_docs, no_docs):
     assert toxic.score(odd_docs, nothing).where("score IS NULL OR score < 0 OR score > 1").count() == 0
 
 
+def rare_toxic(seed, n=2400):
+    """Half of the texts have one of 200 toxic words, which look like any other word."""
+    rng, bad = np.random.default_rng(seed), np.arange(n) % 2 == 0
+    share = 1 / np.arange(1, 2001)
+    texts = []
+    for toxic_text in bad:
+        words = [f"{x * 7919 % 999979:06d}" for x in rng.choice(2000, 40, p=share / share.sum())]
+        if toxic_text:
+            words[rng.integers(40)] = f"{rng.integers(1, 201) * 104729 % 999983:06d}"
+        texts.append(" ".join(words))
+    return texts, bad
+
+
+def test_many_rare_toxic_words_are_learned():
+    model = toxic.fit(*rare_toxic(1), np.ones(2400))
+    texts, bad = rare_toxic(2)
+    words = toxic.read(pa.array(texts))
+    p, _ = toxic.marginals(toxic._score(model.weights, toxic.features(words)), model.change, words)
+    found = toxic.document_features(p, words) @ model.document > 0
+    assert found[bad].mean() > 0.8 and found[~bad].mean() < 0.05
+
+
+def test_texts_that_begin_alike_are_all_learned_from(spark):
+    rows = [(i, "a notice that stands at the head of each and every text of this source: " + f"w{i // 2}", i % 4 // 2) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts, _, _ = toxic.training_rows(docs, docs, "doc_id", "text", "doc_id", "toxic", 100)
+    assert sorted(texts) == sorted({t for _, t, _ in rows})
+
+
 def test_marginals_are_those_of_all_paths():
     rng = np.random.default_rng(0)
     score, change = rng.normal(size=5), rng.normal(size=(2, 2))

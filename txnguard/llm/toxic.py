@@ -3,7 +3,7 @@
 A word is described by hashed features: itself, its beginnings and endings, the words beside it. The
 field has two states; their forward-backward marginals say for each word how likely it is toxic.
 Labels are per document, so words are labelled first: in toxic documents those whose word or
-beginning is far more frequent there than in clean ones. A document's score comes from its largest
+beginning is more frequent there than chance allows, then the best words of what is left. A document's score comes from its largest
 marginal and the expected number of toxic words, by a logistic fit to the document labels.
 """
 
@@ -27,6 +27,9 @@ AFFIXES = (3, 4, 5, 6, -3, -4)
 CORE, REACH = 256, 24
 #: The fit looks at this many labelled documents of either label at most, none longer than MAX_CHARS.
 SAMPLE, MAX_CHARS = 1200, 20_000
+#: A telling word lies in so many toxic rows at least; of those found by the first test, which share may
+#: be so by chance; how often rows without a toxic word are looked at again.
+LEAST, FALSE, ROUNDS = 4, 0.01, 8
 
 
 @dataclass
@@ -131,20 +134,53 @@ def document_features(p: np.ndarray, words: Words) -> np.ndarray:
 
 
 def word_labels(words: Words, found: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Which words of the toxic rows are toxic: those with a telling word or beginning."""
+    """Which words of the toxic rows are toxic: those with a telling word or beginning.
+
+    Telling is first what is so much more frequent in toxic rows that chance would hardly do it, given
+    how many are tried. A toxic row has some toxic word, so rows without any are then explained, in a
+    few rounds, by their best words: those that are best in several such rows. How large a share of the
+    toxic rows has a word does not matter.
+    """
+    kinds = [k for k in range(1 + len(AFFIXES)) if k == 0 or AFFIXES[k - 1] > 3]  # three bytes tell too little
+    pairs = [np.unique(words.row * np.int64(1 << BITS) + found[k]) for k in kinds]
+    clean = [np.bincount(x[~toxic[x >> BITS]] & ((1 << BITS) - 1), minlength=1 << BITS) for x in pairs]
+    n_neg = (~toxic).sum()
     label = np.zeros(len(words.hash), bool)
-    n_pos, n_neg = toxic.sum(), (~toxic).sum()
-    for kind in range(0, 1 + sum(a > 3 for a in AFFIXES) + 1):
-        if kind == 1:
-            continue  # three bytes tell too little
-        pair = np.unique(words.row * np.int64(1 << BITS) + found[kind])
-        row, feature = pair >> BITS, pair & ((1 << BITS) - 1)
-        pos = np.bincount(feature[toxic[row]], minlength=1 << BITS)
-        neg = np.bincount(feature[~toxic[row]], minlength=1 << BITS)
-        odds = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
-        telling = (odds > 3) & (pos >= max(4, 0.02 * n_pos))
-        label |= telling[found[kind]]
-    return label & toxic[words.row]
+    left = toxic.copy()
+    for n in range(ROUNDS):
+        share = left.sum() / (left.sum() + n_neg)
+        gains, new = [], np.zeros(len(label), bool)
+        for k, x, neg in zip(kinds, pairs, clean, strict=True):
+            pos = np.bincount(x[left[x >> BITS]] & ((1 << BITS) - 1), minlength=1 << BITS)
+            odds = np.log((pos + 0.5) / (left.sum() + 1)) - np.log((neg + 0.5) / (n_neg + 1))
+            # Minus the log of a bound (Chernoff) on the chance of so many toxic among pos + neg rows.
+            gain = pos * np.log(np.maximum(pos, 1) / np.maximum((pos + neg) * share, 1e-9))
+            gain += neg * np.log(np.maximum(neg, 1) / np.maximum((pos + neg) * (1 - share), 1e-9))
+            gain[(pos < LEAST) | (odds <= 2)] = 0
+            gains.append(gain[found[k]])
+            if n == 0:
+                # False discoveries are bounded (Benjamini and Hochberg).
+                order = np.argsort(-gain)
+                tried = np.arange(1, len(order) + 1) / max(1, (pos + neg >= LEAST).sum())
+                good = np.flatnonzero((gain[order] > 0) & (np.exp(-gain[order]) <= FALSE * tried))
+                telling = np.zeros(1 << BITS, bool)
+                telling[order[: good[-1] + 1 if len(good) else 0]] = True
+                new |= telling[found[k]]
+        if n:
+            gain = np.max(gains, axis=0)
+            top = np.zeros(len(toxic))
+            np.maximum.at(top, words.row, gain)
+            best = left[words.row] & (gain > 0) & (gain == top[words.row])
+            at = np.flatnonzero(best)
+            pair = np.unique(words.row[at] * np.int64(1 << BITS) + found[0][at])
+            support = np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS)
+            new = (support >= LEAST)[found[0]]
+        new &= toxic[words.row] & ~label
+        label |= new
+        left[words.row[new]] = False
+        if n and not new.any() or not left.any():
+            break
+    return label
 
 
 def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 40) -> Model:
@@ -189,7 +225,7 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 4
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str, sample: int) -> tuple[list, np.ndarray, np.ndarray]:
     """At most ``sample`` labelled documents of either label, and what each stands for.
 
-    Which ones is decided by a hash of the text, so reruns agree; texts that begin alike count once.
+    Which ones is decided by a hash of the text, so reruns agree; equal texts count once.
     """
     known = labels.where(f"`{label_col}` IN (0, 1)").select(
         F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("toxic")
@@ -205,7 +241,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         some = thinned(these, total, 2 * sample).distinct().orderBy("h", "id").limit(2 * sample).drop("h")
         rows = (
             source.join(F.broadcast(some), "id")
-            .groupBy(F.xxhash64(F.substring("text", 1, 64)).alias("h"))
+            .groupBy(F.xxhash64("text").alias("h"))
             .agg(F.min("text").alias("text"))
             .orderBy("h")
             .limit(sample)
