@@ -78,6 +78,18 @@ def test_neighbours_across_ranges(spark, monkeypatch):
     assert {tuple(r) for r in sketch.compare_with_next(docs).collect()} == set(brute.fingerprints(rows))
 
 
+def test_ranges_are_cut_by_count(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "GROUP", 20)
+    ends = [-(1 << 63), (1 << 63) - 1, 1 << 62]
+    rows = [(i, f"text number {i} of a few words more") for i in [*range(800), *ends]]
+    rows += [(None, f"text {i} without an id") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    source = docs.select(F.col("doc_id").alias("id"), "text")
+    sizes = [r["count"] for r in source.groupBy(sketch._ranges(source)).count().collect()]
+    assert len(sizes) > 25 and max(sizes) < 100
+    assert sorted(map(repr, map(tuple, sketch.compare_with_next(docs).collect()))) == sorted(map(repr, brute.fingerprints(rows)))
+
+
 def test_merge_and_containment(spark):
     words = [f"w{i}" for i in range(4000)]
     df = spark.createDataFrame([(" ".join(words), " ".join(words[:400]))], "a string, b string")

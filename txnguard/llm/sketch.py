@@ -15,8 +15,10 @@ WIDTH = 5
 #: One hash in so many is kept.
 SCALE = 8
 _SPACES = r"[\x20\x09-\x0D]+"
-#: Ids per group of neighbours, and the most groups (one row of each passes through one task).
+#: Rows per range of neighbours, and the most ranges (one row of each passes through one task).
 GROUP, MOST_GROUPS = 1000, 200_000
+#: So many sampled rows per range make their sizes even; ranges of equal ids are cut by so much of the text.
+SAMPLED, PREFIX = 8, 64
 
 
 def sketch(text: Column, width: int = WIDTH, scale: int = SCALE) -> Column:
@@ -67,6 +69,39 @@ def to_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
+def _ranges(source: DataFrame) -> Column:
+    """The number of the range a row lies in, by id and then text: ranges of about GROUP rows each,
+    whatever the ids are.
+
+    Their bounds are every SAMPLED-th of the rows that a hash of id and text picks. A row's range is
+    found by the bounds' bounds first, so the work for a row grows with the root of their number.
+    """
+    n = source.count()
+    groups = max(1, min(MOST_GROUPS, n // GROUP))
+    key = F.struct(F.col("id"), F.substring("text", 1, PREFIX).alias("text"))
+    if groups == 1:
+        return F.lit(0).alias("part")
+    of = 1 << 40
+    picked = F.pmod(F.xxhash64(key["id"], key["text"]), F.lit(of)) < min(of, of * SAMPLED * groups // n)
+    bounds = (
+        source.where(picked).select(key.alias("key")).distinct().agg(F.sort_array(F.collect_list("key")).alias("b"))
+        .selectExpr(f"filter(b, (x, i) -> i % {SAMPLED} = {SAMPLED - 1}) AS b")
+        .selectExpr("b", "greatest(1, CAST(ceil(sqrt(size(b))) AS int)) AS s")
+        .selectExpr("s", "filter(b, (x, i) -> i % s = 0) AS heads", "b")
+        .selectExpr("s", "heads", "transform(heads, (x, i) -> slice(b, i * s + 1, s)) AS lists")
+    )
+    as_json = F.to_json(F.struct("heads", "lists"))
+    kind = bounds.select("heads", "lists").schema
+    step, told = bounds.select("s", as_json).first()
+    # The planner reads the text once, so the tasks get the arrays.
+    known = F.from_json(F.lit(told), kind)
+    heads, lists = known["heads"], known["lists"]
+    head = F.size(F.filter(heads, lambda x: x <= key))
+    # A one-element transform binds the number of heads, so it is counted once.
+    part = F.transform(F.array(head), lambda h: F.when(h == 0, 0).otherwise((h - 1) * step + F.size(F.filter(F.get(lists, h - 1), lambda x: x <= key))))
+    return part[0].alias("part")
+
+
 def _neighbours(source: DataFrame, printed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each document beside its next one in descending order of id, after the last the first, in two
     tables: (id, text, print, next) where both are in one range of ids; (id, text, print, next_text)
@@ -75,16 +110,12 @@ def _neighbours(source: DataFrame, printed: DataFrame) -> tuple[DataFrame, DataF
     There is a range for each thousand rows, 200,000 at most; one narrow row of each passes through
     one task. Of equal ids the order is by text; null ids come last. ``source`` has no fingerprints.
     """
-    low, high, n = source.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    low = low or 0
-    groups = max(1, min(MOST_GROUPS, n // GROUP))
-    step = ((high or 0) - low) // groups + 1
-    top = -1 if high is None else (high - low) // step
-    part = F.coalesce(F.expr(f"(id - {low}L) div {step}L"), F.lit(-1)).cast("long").alias("part")
+    part = _ranges(source)
     inside = Window.partitionBy("part").orderBy(F.col("id").desc_nulls_last(), F.col("text").desc())
     chained = printed.select("*", part).withColumn("next", F.lead(F.struct("text", "print")).over(inside))
     firsts = source.groupBy(part).agg(F.max(F.struct("id", "text")).alias("first"))
-    below = F.coalesce(F.lead("part").over(Window.orderBy(F.col("part").desc())), F.lit(top))
+    down = Window.orderBy(F.col("part").desc())
+    below = F.coalesce(F.lead("part").over(down), F.max("part").over(down))
     linked = source.groupBy(part).agg(F.count("*")).select("part", below.alias("below"))
     nexts = firsts.select(F.col("part").alias("below"), F.col("first.text").alias("next_text"))
     ends = chained.where("next IS NULL").join(linked.join(nexts, "below"), "part")
