@@ -99,7 +99,8 @@ def _ranges(source: DataFrame) -> Column:
     head = F.size(F.filter(heads, lambda x: x <= key))
     # A one-element transform binds the number of heads, so it is counted once.
     part = F.transform(F.array(head), lambda h: F.when(h == 0, 0).otherwise((h - 1) * step + F.size(F.filter(F.get(lists, h - 1), lambda x: x <= key))))
-    return part[0].alias("part")
+    # Never null, so that joins by it filter nothing and one shuffle of the texts serves them all.
+    return F.coalesce(part[0], F.lit(0)).alias("part")
 
 
 def _neighbours(source: DataFrame, printed: DataFrame) -> tuple[DataFrame, DataFrame]:
