@@ -329,6 +329,31 @@ def test_locations_of_the_longest_matches(spark):
     assert [(m["item"], m.item_word, m.doc_word, m.n_words) for m in row.matches] == [("1", 0, 1, 15)]
 
 
+def test_matches_along_every_item_that_shares_a_prefix(spark):
+    head, tail = [f"h{i}" for i in range(30)], [f"b{i}" for i in range(70)]
+    items = [(1, " ".join([*head, *(f"a{i}" for i in range(20))])), (2, " ".join(head + tail)), (3, " ".join(["x", *head[5:], *tail[:3]]))]
+    docs = [(1, " ".join(["zero", *head, *tail, "end", *head[2:20]])), (2, " ".join(tail[:20]))]
+    expected = {}
+    for d, text in docs:
+        w, found = text.split(), set()
+        for i, t in items:
+            v = t.split()
+            for x in range(len(w)):
+                for y in range(len(v)):
+                    n = 0
+                    while x + n < len(w) and y + n < len(v) and w[x + n] == v[y + n]:
+                        n += 1
+                    if n >= 13 and (not x or not y or w[x - 1] != v[y - 1]):
+                        found.add((str(i), y, x, n))
+        expected[d] = found
+    found = suffix.find_matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert rows[1].longest == 100
+    for d, r in rows.items():
+        got = [(m["item"], m.item_word, m.doc_word, m.n_words) for m in r.matches]
+        assert len(got) == len(set(got)) and set(got) == expected[d] and r.longest == max(m[3] for m in got)
+
+
 # ---- personal data
 
 

@@ -89,7 +89,7 @@ def op7_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = read_table(spark, f"{folder}/benchmark.parquet")
-    found = suffix.find_matches(documents(spark, folder), benchmark, locations=False)
+    found = suffix.find_matches(documents(spark, folder), benchmark)
     return found.select(
         "doc_id",
         "n_words",
@@ -98,6 +98,8 @@ def op8_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         suffix.is_contaminated().alias("contaminated"),
         "longest",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.sha2(F.to_json(F.array_sort("matches")), 256).alias("matches_sha256"),
     )
 
 

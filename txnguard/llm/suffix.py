@@ -21,6 +21,8 @@ from txnguard.session import materialise
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
+#: About so many places of windows are followed at once.
+PLACES = 1 << 20
 _PACK = 3  # word numbers of 21 bits in one sort key
 
 
@@ -36,6 +38,9 @@ class Tests:
     first: np.ndarray
     item: np.ndarray
     ids: list[str | None]
+    #: Where window i occurs in the items' words: place[place_first[i] : place_first[i + 1]].
+    place: np.ndarray
+    place_first: np.ndarray
 
 
 def prepare(ids: list, texts: list, window: int = WINDOW) -> Tests:
@@ -62,7 +67,9 @@ def prepare(ids: list, texts: list, window: int = WINDOW) -> Tests:
     _, one, which = np.unique(key, return_index=True, return_inverse=True)
     pairs = np.unique(np.stack([which, item], axis=1), axis=0) if len(item) else np.zeros((0, 2), int)
     first = np.searchsorted(pairs[:, 0], np.arange(len(one) + 1))
-    return Tests(vocabulary, words, start[one], width[one], first, pairs[:, 1], ids)
+    order = np.argsort(which, kind="stable")
+    place_first = np.searchsorted(which[order], np.arange(len(one) + 1))
+    return Tests(vocabulary, words, start[one], width[one], first, pairs[:, 1], ids, start[order], place_first)
 
 
 class Shard:
@@ -188,9 +195,21 @@ def _search(block, window: int, locations: bool):
         for r, i in zip(pairs // max(1, len(tests.ids)), pairs % max(1, len(tests.ids)), strict=True):
             if tests.ids[i] is not None:
                 items[r].add(tests.ids[i])
-        length = shard.lengths(at, tests.start[which], width, tests)
+        # An occurrence is followed along each place of its window that it cannot be followed to from the left.
         longest = np.zeros(n, np.int64)
-        np.maximum.at(longest, row, length)
+        matches = [x or [] for x in part.column("matches").to_pylist()] if locations else None
+        begins = tests_begin(tests)
+        places = tests.place_first[which + 1] - tests.place_first[which]
+        for some in np.split(np.arange(len(at)), np.searchsorted(np.cumsum(places), np.arange(PLACES, places.sum(), PLACES))):
+            of = np.repeat(some, places[some])
+            start = tests.place[_ranges(tests.place_first[which[some]], places[some])]
+            before = shard.words[np.maximum(at[of] - 1, 0)]
+            back = (at[of] > 0) & (start > 0) & (before > 0) & (before == tests.words[np.maximum(start - 1, 0)])
+            of, start = of[~back], start[~back]
+            length = shard.lengths(at[of], start, width[of], tests)
+            np.maximum.at(longest, row[of], length)
+            if locations:
+                add_matches(matches, shard, tests, begins, at[of], start, length)
         longest = np.maximum(longest, part.column("longest").to_numpy(zero_copy_only=False))
         columns = [
             part.column("row"),
@@ -199,31 +218,23 @@ def _search(block, window: int, locations: bool):
             hits,
             pa.array([sorted(x) for x in items], pa.list_(pa.string())),
             pa.array(longest.astype(np.int32)),
-            self_matches(part, shard, tests, at, which, length) if locations else part.column("matches"),
+            pa.array(matches, pa.list_(_MATCH)) if locations else part.column("matches"),
         ]
         return pa.RecordBatch.from_arrays(columns, ["row", "text", "n_words", "hits", "items", "longest", "matches"])
 
-    def self_matches(part, shard, tests, at, which, length):
-        """Matches that cannot be made longer to the left, with where they lie, for each item."""
-        start = tests.start[which]
-        back = (at > 0) & (start > 0)
-        back &= shard.words[np.maximum(at - 1, 0)] == tests.words[np.maximum(start - 1, 0)]
-        back &= shard.words[np.maximum(at - 1, 0)] > 0
-        found = part.column("matches").to_pylist()
-        found = [x or [] for x in found]
-        begins = tests_begin(tests)
-        for i in np.flatnonzero(~back):
-            r = shard.row[at[i]]
-            item = int(np.searchsorted(begins, start[i], side="right")) - 1
-            found[r].append(
+    def add_matches(matches, shard, tests, begins, at, start, length):
+        """Adds matches that cannot be made longer to the left, with where they lie, for each item."""
+        item = np.searchsorted(begins, start, side="right") - 1
+        rows = shard.row[at]
+        for i, r in enumerate(rows):
+            matches[r].append(
                 {
-                    "item": tests.ids[item],
-                    "item_word": int(start[i] - begins[item]),
+                    "item": tests.ids[item[i]],
+                    "item_word": int(start[i] - begins[item[i]]),
                     "doc_word": int(at[i] - shard.begin[r]),
                     "n_words": int(length[i]),
                 }
             )
-        return pa.array(found, pa.list_(_MATCH))
 
     return run
 
@@ -287,8 +298,8 @@ def find_matches(
     ``window`` consecutive words of an item; an item of fewer, but not none, is one window. n_hit
     counts the document's words inside any occurrence of a window; items are the ids (as sorted
     strings) of those with an occurring window; longest is the longest verbatim match in words;
-    matches say where the matches lie that cannot be made longer (of items that share a window, the
-    first; only with ``locations``).
+    matches say where the matches lie that cannot be made longer, for each item and each place in it
+    (only with ``locations``).
 
     The items are the query set. They are taken in blocks of 16 MB of text, whatever their number,
     and one block is broadcast at a time. Null text has no words. An item without id counts for
