@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, cascade, dart, mixing, ordinal, sketch, spans, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, manifest, mixing, ordinal, sketch, spans, suffix, toxic
 from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
@@ -139,7 +139,29 @@ def op10_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return cascade.judge(pages, URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op6_ordinal_quality, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade)}
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, held against rows of which some were tampered with."""
+    docs = documents(spark, folder)
+
+    def row_leaf(n_chars: Column) -> Column:
+        return manifest.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    found = F.when(tampered & F.col("n_chars").isNotNull(), row_leaf(more))
+    leaves = docs.select("doc_id", "lang", row_leaf(F.col("n_chars")).alias("leaf"), found.alias("found"))
+    rows = manifest.build(leaves, "lang", "doc_id", "leaf", ["doc_id", "found"])
+    return rows.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        manifest.fold(F.coalesce("row.found", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op6_ordinal_quality, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade, op11_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": """
         WITH p AS (
@@ -200,4 +222,55 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow'
                 WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
         FROM v""",
+    "op11_merkle_manifest": """
+        WITH RECURSIVE crc_table AS (
+            SELECT list(list_reduce([c] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY c) AS t
+            FROM range(256) r(c)
+        ), docs AS (
+            SELECT *, concat_ws('', coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                    coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+                coalesce(strlen(text) || ':' || text, '-') AS tail,
+                xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                    lambda x, b: xor(x >> 8, t[1 + (xor(x, b) & 255)]))) AS crc
+            FROM documents, crc_table
+        ), leaves AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+                CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS found
+            FROM docs
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+        ), nodes AS (
+            SELECT lang, 0 AS level, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM placed
+            UNION ALL
+            SELECT lang, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2
+            FROM nodes WHERE n > 1 GROUP BY lang, level, n, pos // 2
+        ), subroots AS (
+            SELECT lang, hash AS subroot, level AS depth, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1
+        ), tops AS (
+            SELECT 0 AS level, pos, subroot AS hash, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, n, pos // 2
+        ), steps AS (
+            SELECT p.doc_id, p.lang, p.pos, n.level AS step, (p.pos >> n.level) & 1 = 1 AS onleft, s.hash AS sibling
+            FROM placed p JOIN nodes n ON n.lang IS NOT DISTINCT FROM p.lang AND n.pos = p.pos >> n.level AND n.n > 1
+            LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = n.level AND s.pos = xor(n.pos, 1)
+            UNION ALL
+            SELECT p.doc_id, p.lang, p.pos, r.depth + n.level, (r.pos >> n.level) & 1 = 1, s.hash
+            FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN tops n ON n.pos = r.pos >> n.level AND n.n > 1
+            LEFT JOIN tops s ON s.level = n.level AND s.pos = xor(n.pos, 1)
+        ), paths AS (
+            SELECT lang, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256,
+                list({l: onleft, s: coalesce(sibling, '')} ORDER BY step) AS path
+            FROM steps GROUP BY lang, pos
+        ), folded AS (
+            SELECT p.lang, p.pos, 0 AS step, coalesce(found, leaf) AS hash FROM placed p
+            UNION ALL
+            SELECT f.lang, f.pos, f.step + 1, sha256(CASE WHEN s.onleft THEN coalesce(s.sibling, '') || f.hash ELSE f.hash || coalesce(s.sibling, '') END)
+            FROM folded f JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.step = f.step
+        )
+        SELECT p.doc_id, p.leaf, r.subroot, t.hash AS root, coalesce(w.proof_sha256, sha256('')) AS proof_sha256,
+            f.hash AS folded_root, f.hash = t.hash AS verified
+        FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang CROSS JOIN (SELECT hash FROM tops WHERE n = 1) t
+        LEFT JOIN paths w ON w.lang IS NOT DISTINCT FROM p.lang AND w.pos = p.pos
+        JOIN (SELECT lang, pos, arg_max(hash, step) AS hash FROM folded GROUP BY lang, pos) f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos""",
 }
