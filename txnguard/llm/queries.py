@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, cascade, dart, manifest, mixing, ordinal, repair, sketch, spans, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, manifest, mixing, neighbours, ordinal, repair, sketch, spans, suffix, toxic
 from txnguard.session import shared_folder
 from txnguard.sources.tables import read_table
 
@@ -162,6 +162,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    table = read_table(spark, f"{folder}/embeddings.parquet")
+    return neighbours.nearest(table, F.col("vec_id") % 100 == 0)
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with faults by a hash of id and turn: rows lost, emptied, cut off, repeated, or made the user's."""
     spaced = turns.withColumns({c: F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text")})
@@ -183,7 +188,7 @@ def op13_dijkstra_repair(spark: SparkSession, folder: str) -> DataFrame:
     return whole.select("conv_id", *counts, *[F.coalesce(c, F.lit(x)).alias(c) for c, x in none.items()])
 
 
-QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op6_ordinal_quality, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade, op11_merkle_manifest, op13_dijkstra_repair)}
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op2_dart_minhash, op3_scaled_sketch, op4_difference_cover, op5_warc_archive, op6_ordinal_quality, op7_water_filling, op8_suffix_array, op9_crf_toxicity, op10_bloom_cascade, op11_merkle_manifest, op12_learned_partitions, op13_dijkstra_repair)}
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_archive": """
         WITH p AS (
