@@ -23,8 +23,9 @@ from txnguard.plans import catalog
 from txnguard.session import build_session, materialise
 from txnguard.sources.tables import stream_table
 from txnguard.streaming.alert_table import AlertTable
-from txnguard.streaming.detection import Known, alert_writer
+from txnguard.streaming.detection import alert_writers
 from txnguard.streaming.ingest import SILVER_SCHEMA
+from txnguard.streaming.known import Known
 
 
 SLOW = 5.0
@@ -47,6 +48,7 @@ def stream_seconds(spark, folder) -> float:
         {
             "timestamp": F.col("timestamp").cast("timestamp"),
             "kafka_timestamp": F.col("kafka_timestamp").cast("timestamp"),
+            "ingested_at": F.current_timestamp(),
             "event_date": F.to_date("timestamp"),
         }
     )
@@ -58,7 +60,7 @@ def stream_seconds(spark, folder) -> float:
         profile.stored_pairs(past, profile.STATE),
     )
     start = time.perf_counter()
-    alert_writer(
+    writers = alert_writers(
         spark,
         stream_table(spark, f"{lake}/silver", SILVER_SCHEMA),
         f"{lake}/silver",
@@ -66,7 +68,9 @@ def stream_seconds(spark, folder) -> float:
         catalog.LOG_PARAMS,
         AlertTable(spark, f"{lake}/alerts"),
         f"{lake}/checkpoint",
-    ).trigger(availableNow=True).start().awaitTermination()
+    )
+    for query in [writer.trigger(availableNow=True).start() for writer in writers]:
+        query.awaitTermination()
     taken = time.perf_counter() - start
     shutil.rmtree(lake, ignore_errors=True)
     return taken

@@ -21,11 +21,13 @@ def reason_rank() -> Column:
 
 
 def one_per_txn(alerts: DataFrame) -> DataFrame:
-    """The strongest reason per transaction, of that the earliest window.
+    """The strongest reason per transaction, of that the earliest window; of several evaluations of a
+    window the one with most rows.
 
     Only the first row of a rank is asked for, so each map task sends one per transaction.
     """
-    order = W.partitionBy("txn_id").orderBy(reason_rank(), "window_start", "window_end")
+    most = F.col("txn_count").desc()
+    order = W.partitionBy("txn_id").orderBy(reason_rank(), "window_start", "window_end", most)
     return alerts.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
@@ -35,8 +37,8 @@ def not_in(alerts: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def retract(alerts: DataFrame, keys: DataFrame) -> DataFrame:
-    """All alerts but those of the given transactions."""
-    return alerts.join(keys.select("txn_id").distinct(), "txn_id", "left_anti")
+    """All alerts but those of the given transactions. Keys may repeat: joined as they are, a hot one is split."""
+    return alerts.join(keys.select("txn_id"), "txn_id", "left_anti")
 
 
 def latest(alerts: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.functions.time import pane, window_spec
+from txnguard.schema import INGESTED_AT
 from txnguard.session import materialise
 
 GROUP = ["sender_upi", "sender_device_id"]
@@ -47,34 +48,35 @@ def windows(
     of payees is ever built, and a hot sender is spread over tasks by payee.
     """
     sliding = F.window("timestamp", *window_spec(length, slide))
-    amount = F.col("amount").cast(EXACT_AMOUNT)
-    if min_payees <= 1:
-        found = df.groupBy(sliding.alias("window"), *GROUP).agg(
-            F.count(F.lit(1)).alias("txn_count"), F.sum(amount).alias("total_amount")
-        )
-        found = found.filter(F.col("txn_count") >= min_txns)
-    else:
-        per_payee = df.groupBy(sliding.alias("window"), *GROUP, "receiver_upi").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(amount).alias("payee_amount")
-        )
-        found = (
-            per_payee.groupBy("window", *GROUP)
-            .agg(
-                F.sum("n").alias("txn_count"),
-                F.sum("payee_amount").alias("total_amount"),
-                F.count(F.lit(1)).alias("payees"),
-            )
-            .filter((F.col("txn_count") >= min_txns) & (F.col("payees") >= min_payees))
-        )
+    found = qualified(df.withColumn("window", sliding), ["window"], min_txns, min_payees)
     return found.select(
         *GROUP,
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        "txn_count",
-        "total_amount",
+        *[c for c in found.columns if c not in (*GROUP, "window")],
     )
 
 
+def qualified(df: DataFrame, window: list[str], min_txns: int, min_payees: int = 1) -> DataFrame:
+    """(window, group, txn_count, total_amount) of the windows with enough rows, given each row's windows.
+
+    Where rows tell when they were ingested, ``seen_until`` is the last of these times in the window: no
+    row ingested later has been counted.
+    """
+    keys, amount = [*window, *GROUP], F.col("amount").cast(EXACT_AMOUNT)
+    seen = [INGESTED_AT] if INGESTED_AT in df.columns else []
+    last = [F.max(c).alias("seen_until") for c in seen]
+    if min_payees <= 1:
+        sums = [F.count(F.lit(1)).alias("txn_count"), F.sum(amount).alias("total_amount")]
+        return df.groupBy(*keys).agg(*sums, *last).filter(F.col("txn_count") >= min_txns)
+    per_payee = df.groupBy(*keys, "receiver_upi").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(amount).alias("payee_amount"), *last
+    )
+    sums = [F.sum("n").alias("txn_count"), F.sum("payee_amount").alias("total_amount"), F.count(F.lit(1)).alias("payees")]
+    found = per_payee.groupBy(*keys).agg(*sums, *[F.max("seen_until").alias("seen_until") for _ in seen])
+    return found.filter((F.col("txn_count") >= min_txns) & (F.col("payees") >= min_payees)).drop("payees")
+
+
 def _earliest_per_pane(hits: DataFrame, slide: int) -> DataFrame:
     step = F.expr(f"INTERVAL {slide} SECONDS")
     panes = F.sequence(F.col("window_start"), F.col("window_end") - step, step)
@@ -99,8 +101,13 @@ def members(df: DataFrame, hits: DataFrame, slide: int) -> DataFrame:
     return keyed.join(first, [*GROUP, "pane"]).drop("pane")
 
 
-def near_windows(df: DataFrame, hits: DataFrame, slide: int) -> DataFrame:
-    """All rows of the same sender and device in the time of a window found."""
-    panes = _earliest_per_pane(hits, slide).select(*GROUP, "pane")
-    keyed = df.withColumn("pane", pane("timestamp", slide))
-    return keyed.join(panes, [*GROUP, "pane"], "left_semi").drop("pane")
+def in_windows(df: DataFrame, hits: DataFrame, slide: int) -> DataFrame:
+    """The rows of the same group in the time of each window, once per window, with the columns of
+    ``hits``. Where hits tell until when rows were seen, rows ingested later are left out."""
+    step = F.expr(f"INTERVAL {slide} SECONDS")
+    panes = F.explode(F.sequence(F.col("window_start"), F.col("window_end") - step, step)).alias("pane")
+    by_pane = materialise(hits.select("*", panes))
+    rows = df.withColumn("pane", pane("timestamp", slide)).join(by_pane, [*GROUP, "pane"]).drop("pane")
+    if "seen_until" in hits.columns:
+        rows = rows.filter(F.col(INGESTED_AT) <= F.col("seen_until")).drop("seen_until")
+    return rows

@@ -73,32 +73,39 @@ def sender_values(history: DataFrame, attributes: list[str]) -> DataFrame:
     )
 
 
-def _value_sets(history: DataFrame, attributes: list[str], listed: list[str]) -> DataFrame:
-    """Per sender: number of distinct values of each attribute, and all values of some as lists.
+def stored_values(history: DataFrame, attributes: list[str]) -> DataFrame:
+    """``sender_values`` as a table: one pass over history for all attributes."""
+    return materialise(sender_values(history, attributes))
 
-    A list is as long as one sender has devices or states. Rules do not look at it: they join
-    the distinct pairs.
-    """
-    values = sender_values(history, attributes)
-
-    def of(attribute: str, column: str) -> Column:
-        return F.when(F.col("kind") == attribute, F.col(column))
 
-    return values.groupBy(SENDER).agg(
-        F.sum(of(attributes[0], "n")).alias("n_txns"),
-        *[F.count(of(a, "n")).alias(_SIZE_NAMES[a]) for a in attributes],
-        *[F.array_sort(F.collect_list(of(a, "value"))).alias(_LIST_NAMES[a]) for a in listed],
+def pairs_of(values: DataFrame, attribute: str) -> DataFrame:
+    """The distinct (sender, attribute) in ``sender_values``; nulls are left out."""
+    return values.filter((F.col("kind") == attribute) & F.col("value").isNotNull()).select(
+        SENDER, F.col("value").alias(attribute)
     )
 
 
 _SIZE_NAMES = {DEVICE: "n_devices", STATE: "n_states", PAYEE: "n_payees"}
-_LIST_NAMES = {DEVICE: "devices", STATE: "states"}
+
+
+def value_counts(values: DataFrame) -> DataFrame:
+    """Per sender: transactions, and how many different devices, states and payees."""
+
+    def of(attribute: str) -> Column:
+        return F.when((F.col("kind") == attribute) & F.col("value").isNotNull(), F.col("n"))
+
+    total = F.sum(F.when(F.col("kind") == DEVICE, F.col("n"))).alias("n_txns")
+    return values.groupBy(SENDER).agg(total, *[F.count(of(a)).alias(name) for a, name in _SIZE_NAMES.items()])
 
 
 def sender_profile(history: DataFrame) -> DataFrame:
-    """One row per sender: typical spend, counts, and its devices and states."""
-    spend = spend_profile(history)
-    return spend.join(_value_sets(history, [DEVICE, STATE, PAYEE], [DEVICE, STATE]), SENDER)
+    """One row per sender: typical spend, and how many transactions, devices, states and payees.
+
+    Sizes only, counted from distinct values: no list of a sender's values is built, however many there
+    are. The values themselves are the rows of ``sender_values``.
+    """
+    values = sender_values(history, list(_SIZE_NAMES))
+    return spend_profile(history).join(value_counts(values), SENDER)
 
 
 def spend_profile(history: DataFrame) -> DataFrame:

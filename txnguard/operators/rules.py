@@ -123,6 +123,17 @@ def drain_windows(candidates: DataFrame, p: RuleParams) -> DataFrame:
     return bursts.windows(candidates, p.drain_seconds, p.drain_slide_seconds, p.drain_min_txns)
 
 
+def settled_transfers(txns: DataFrame) -> DataFrame:
+    return txns.filter(_settled_transfers())
+
+
+def window_alerts(rows: DataFrame, reason: str, min_txns: int, min_payees: int = 1) -> DataFrame:
+    """Alerts of windows whose rows are given, each row once per window it lies in."""
+    window = ["window_start", "window_end"]
+    hits = bursts.qualified(rows, window, min_txns, min_payees).drop("seen_until")
+    return _alerts(rows.join(hits, [*window, *bursts.GROUP]), reason)
+
+
 def drain_alerts(candidates: DataFrame, hits: DataFrame, p: RuleParams) -> DataFrame:
     return _alerts(bursts.members(candidates, hits, p.drain_slide_seconds), DEVICE_DRAIN)
 
@@ -132,9 +143,9 @@ def unseen_device_drain(
 ) -> DataFrame:
     """Several high transfers within a window, from a device new to the sender.
 
-    Reads its input twice, for the windows and for their rows: give it a stored frame.
+    Candidates are stored, as they are read twice: for the windows and for their rows.
     """
-    candidates = drain_candidates(enriched, seen_devices, p)
+    candidates = materialise(drain_candidates(enriched, seen_devices, p))
     return drain_alerts(candidates, drain_windows(candidates, p), p)
 
 

@@ -8,6 +8,7 @@ two rows of one user in a minute.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ LOG_PARAMS = RuleParams(
     drain_slide_seconds=7 * DAY,
     drain_min_txns=2,
 )
+SLIDING_PARAMS = replace(LOG_PARAMS, drain_ratio=0.05, drain_slide_seconds=DAY)
 SENDER = "user0008@okhdfcbank"
 LOOKUP_ID = "txn-00000123"
 FEED_ROWS = 50
@@ -127,7 +129,8 @@ def contract_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def txn_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    found = reports.lookup(transactions(spark, folder), LOOKUP_ID)
+    log = events.rows_of_txn(read_table(spark, f"{folder}/events.parquet"), LOOKUP_ID)
+    found = reports.lookup(events.transactions_from_events(log), LOOKUP_ID)
     return found.select("txn_id", "sender_upi", "receiver_upi", "amount", "status")
 
 
@@ -193,10 +196,11 @@ def text_normalize(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sender_profile(spark: SparkSession, folder: str) -> DataFrame:
-    found = profile.sender_profile(history(spark, folder))
-    return found.withColumns(
-        {"devices": F.array_join("devices", ","), "states": F.array_join("states", ",")}
-    )
+    return profile.sender_profile(history(spark, folder))
+
+
+def sender_values(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.sender_values(history(spark, folder), [profile.DEVICE, profile.STATE, profile.PAYEE])
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
@@ -257,6 +261,12 @@ def rule_unseen_device(spark: SparkSession, folder: str) -> DataFrame:
     return rules.unseen_device_drain(found.rows, found.seen_devices, LOG_PARAMS)
 
 
+def rule_unseen_device_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping windows and lower thresholds: each transfer lies in several windows."""
+    found = find_suspects(current(spark, folder), history(spark, folder), SLIDING_PARAMS)
+    return rules.unseen_device_drain(found.rows, found.seen_devices, SLIDING_PARAMS)
+
+
 def alerts_all(spark: SparkSession, folder: str) -> DataFrame:
     return detect(current(spark, folder), history(spark, folder), LOG_PARAMS)
 
@@ -282,7 +292,10 @@ def alert_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def alerts_by_sender(spark: SparkSession, folder: str) -> DataFrame:
-    return detect_for_sender(current(spark, folder), history(spark, folder), LOG_PARAMS, SENDER)
+    log = events.rows_of_sender(read_table(spark, f"{folder}/events.parquet"), SENDER)
+    txns = contract.keep_valid(events.transactions_from_events(log))
+    past, now = profile.history_before(txns, CUTOFF), profile.since(txns, CUTOFF)
+    return detect_for_sender(now, past, LOG_PARAMS, SENDER)
 
 
 def alerts_by_reason(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,6 +359,7 @@ QUERIES: dict[str, Query] = {
         iso_time,
         text_normalize,
         sender_profile,
+        sender_values,
         txn_enriched,
         unseen_device_txn,
         known_device_txn,
@@ -355,6 +369,7 @@ QUERIES: dict[str, Query] = {
         rule_location,
         rule_rapid_fire,
         rule_unseen_device,
+        rule_unseen_device_sliding,
         alerts_all,
         alerts_dedup,
         alerts_new,

@@ -22,13 +22,17 @@ class Suspects:
 
 
 def find_suspects(txns: DataFrame, history: DataFrame, p: RuleParams) -> Suspects:
-    """All traffic joined with profile and known states; the small rest is written down."""
+    """All traffic joined with profile and known states; the small rest is written down.
+
+    History is read twice: for what is spent, and for all values that senders were seen with.
+    """
     known = materialise(profile.spend_profile(history))
-    states = profile.stored_pairs(history, profile.STATE)
+    values = profile.stored_values(history, [profile.DEVICE, profile.STATE])
+    states = profile.pairs_of(values, profile.STATE)
     enriched = profile.enrich(txns, known, p.spend_floor)
     marked = profile.with_new(enriched, states, profile.STATE, "new_state")
     rows = materialise(rules.suspects(marked, p))
-    return Suspects(rows, profile.stored_pairs(history, profile.DEVICE), states)
+    return Suspects(rows, profile.pairs_of(values, profile.DEVICE), states)
 
 
 def detect(txns: DataFrame, history: DataFrame, p: RuleParams) -> DataFrame:

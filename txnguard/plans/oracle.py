@@ -206,6 +206,22 @@ _PARTS: dict[str, tuple[list[str], str]] = {
               WINDOW g AS (PARTITION BY sender_upi, sender_device_id, window_start))
         WHERE n >= 2""",
     ),
+    "sliding_rows": (
+        ["rated", "past"],
+        """
+        SELECT * FROM rated r WHERE receiver_type = 'P2P' AND status = 'SUCCESS' AND ratio >= 0.05
+        AND NOT EXISTS (SELECT 1 FROM past p WHERE p.sender_upi = r.sender_upi
+                        AND p.sender_device_id = r.sender_device_id)""",
+    ),
+    "sliding_windows": (
+        ["sliding_rows"],
+        """
+        SELECT sender_upi, sender_device_id, day AS window_start, day + INTERVAL 7 DAY AS window_end,
+               count(*) AS txn_count, sum(CAST(amount AS DECIMAL(28,2))) AS total_amount
+        FROM sliding_rows, unnest(range(7)) AS back(k),
+             LATERAL (SELECT date_trunc('day', timestamp) - INTERVAL 1 DAY * k AS day)
+        GROUP BY ALL HAVING count(*) >= 2""",
+    ),
     "every_alert": (
         ["drain_hits", "burst_hits", "amount_hits", "odd_hits", "location_hits"],
         "SELECT * FROM drain_hits UNION ALL SELECT * FROM burst_hits "
@@ -343,11 +359,17 @@ _FINAL: dict[str, tuple[list[str], str]] = {
         SELECT sender_upi, any_value(typical_spend) AS typical_spend, count(*) AS n_txns,
                count(DISTINCT sender_device_id) AS n_devices,
                count(DISTINCT sender_state) AS n_states,
-               count(DISTINCT receiver_upi) AS n_payees,
-               array_to_string(list_sort(list_distinct(list(sender_device_id))), ',') AS devices,
-               array_to_string(list_sort(list_distinct(list(sender_state))), ',') AS states
+               count(DISTINCT receiver_upi) AS n_payees
         FROM past JOIN spend USING (sender_upi) GROUP BY sender_upi""",
     ),
+    "sender_values": (
+        ["past"],
+        """
+        SELECT sender_upi, kind, value, count(*) AS n FROM (
+          UNPIVOT (SELECT sender_upi, sender_device_id, sender_state, receiver_upi FROM past)
+          ON sender_device_id, sender_state, receiver_upi INTO NAME kind VALUE value)
+        GROUP BY ALL""",
+    ),
     "txn_enriched": (
         ["now_txn", "spend"],
         """
@@ -364,6 +386,16 @@ _FINAL: dict[str, tuple[list[str], str]] = {
     "rule_location": (["location_hits"], "SELECT * FROM location_hits"),
     "rule_rapid_fire": (["burst_hits"], "SELECT * FROM burst_hits"),
     "rule_unseen_device": (["drain_hits"], "SELECT * FROM drain_hits"),
+    "rule_unseen_device_sliding": (
+        ["sliding_rows", "sliding_windows"],
+        f"""
+        SELECT {_ALERT}, window_start, window_end, 'unseen_device_drain' AS fraud_reason,
+               CAST(txn_count AS BIGINT) AS txn_count,
+               CAST(total_amount AS DECIMAL(38,2)) AS total_amount
+        FROM sliding_rows JOIN sliding_windows USING (sender_upi, sender_device_id)
+        WHERE timestamp >= window_start AND timestamp < window_end
+        QUALIFY row_number() OVER (PARTITION BY txn_id ORDER BY window_start) = 1""",
+    ),
     "alerts_all": (["every_alert"], "SELECT * FROM every_alert"),
     "alerts_dedup": (["one_alert"], "SELECT * FROM one_alert"),
     "alerts_new": (

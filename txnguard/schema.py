@@ -41,6 +41,9 @@ BRONZE_SCHEMA = T.StructType(
     [T.StructField("kafka_timestamp", T.TimestampType()), *TXN_SCHEMA.fields]
 )
 
+# When a row got into silver: the same for all rows of a micro-batch, later for later ones.
+INGESTED_AT = "ingested_at"
+
 # Names of the alert columns and of the reasons. Numbers are wide enough for any valid
 # transaction; the database sink narrows them.
 ALERT_SCHEMA = T.StructType(

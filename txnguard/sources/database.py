@@ -66,3 +66,17 @@ def merge_statement(staging: str, target: str) -> str:
         f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {staging} "
         "ON CONFLICT (txn_id) DO NOTHING"
     )
+
+
+def execute(spark: SparkSession, database: Database, statement: str) -> None:
+    """Runs one statement in the database, in a transaction of its own, on the driver's connection."""
+    jvm = spark._jvm
+    jvm.java.lang.Class.forName(database.driver)
+    settings = jvm.java.util.Properties()
+    for key, value in database.properties.items():
+        settings.setProperty(key, value)
+    connection = jvm.java.sql.DriverManager.getConnection(database.url, settings)
+    try:
+        connection.createStatement().execute(statement)
+    finally:
+        connection.close()

@@ -6,6 +6,8 @@ the jobs can be run and checked on such a log. Column by column as in ``FIXTURES
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +87,21 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     return rows.select("kafka_timestamp", *TXN_FIELDS)
 
 
+def rows_of_txn(events: DataFrame, txn_id: str) -> DataFrame:
+    """The rows of the log that can have the id. The id is a number of the log's own in fixed form, so the
+    look-up reaches the scan as a filter on that, and skips files and row groups."""
+    number = re.fullmatch(r"txn-(\d{8,})", txn_id)
+    return events.filter(F.col("event_id") == int(number[1])) if number else events.limit(0)
+
+
+def rows_of_sender(events: DataFrame, sender: str) -> DataFrame:
+    """The same for the address of a sender."""
+    number = re.fullmatch(r"user(\d{4,})@([a-z]+)", sender)
+    if not number or BANK_HANDLES[int(number[1]) % len(BANK_HANDLES)] != number[2]:
+        return events.limit(0)
+    return events.filter(F.col("user_id") == int(number[1]))
+
+
 def _id_ends(suffix: str) -> Column:
     return F.col("txn_id").endswith(suffix)
 

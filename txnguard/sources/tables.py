@@ -20,6 +20,20 @@ def overwrite_table(
     writer.save(path)
 
 
+def write_keyed(df: DataFrame, path: str, order: list[str], blooms: dict[str, int], mode: str = "overwrite") -> None:
+    """A copy of a table for look-ups: ranged and sorted by ``order``, so that a filter on its first column
+    skips files and row groups by their least and greatest values, with a Bloom filter per row group for
+    each column in ``blooms``, so that one on those skips row groups too.
+
+    ``blooms`` gives the number of distinct values to expect in a row group, which sets the filter's size.
+    """
+    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+    for column, distinct in blooms.items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", distinct)
+    writer.parquet(path)
+
+
 def rows_to_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | list[str]) -> DataFrame:
     """A frame from literal rows, with a schema or with names only (types inferred)."""
     return spark.createDataFrame(rows, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from txnguard.operators import contract, parsing, reports
-from txnguard.schema import BRONZE_SCHEMA
+from txnguard.schema import BRONZE_SCHEMA, INGESTED_AT
 
 EVENT_DATE = "event_date"
 BRONZE_TABLE_SCHEMA = T.StructType(
@@ -24,7 +24,13 @@ BRONZE_TABLE_SCHEMA = T.StructType(
         T.StructField("arrival_date", T.DateType()),
     ]
 )
-SILVER_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(EVENT_DATE, T.DateType())])
+SILVER_SCHEMA = T.StructType(
+    [
+        *BRONZE_SCHEMA.fields,
+        T.StructField(INGESTED_AT, T.TimestampType()),
+        T.StructField(EVENT_DATE, T.DateType()),
+    ]
+)
 
 
 def bronze_rows(messages: DataFrame) -> DataFrame:
@@ -49,22 +55,26 @@ def silver_rows(bronze: DataFrame) -> DataFrame:
     return kept.withColumn(EVENT_DATE, F.to_date("timestamp"))
 
 
-def without_repeats(silver_stream: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """Drops a message a producer sent again. Goes by arrival, which no sender can set."""
-    return silver_stream.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(
-        ["txn_id"]
-    )
+def without_repeats(silver_stream: DataFrame, within: str = "7 days") -> DataFrame:
+    """Drops a message that a producer sent again, and nothing else. Adds ``ingested_at``.
+
+    Known ids are kept in state for so long after they came in. The watermark goes by the time of the
+    micro-batch, which is the same for all of its rows and never goes back: so no row can be behind it,
+    however long its topic partition has lagged, and ids still leave the state in the end.
+    """
+    timed = silver_stream.withColumn(INGESTED_AT, F.current_timestamp()).withWatermark(INGESTED_AT, within)
+    return timed.dropDuplicatesWithinWatermark(["txn_id"])
 
 
 def missing_in_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Batch: valid rows of bronze whose id silver lacks, one per id, the first to arrive.
 
-    The stream drops what arrives behind its watermark, as a lagging topic partition does. Appended to
-    silver from time to time, these rows close the gap; run again, it finds nothing. Cut both tables to
-    the days in question first.
+    To be empty, once the silver query has caught up; a check, and the repair after a loss of files.
+    Cut both tables to the days in question first.
     """
-    late = silver_rows(bronze).join(silver.select("txn_id").distinct(), "txn_id", "left_anti")
-    return reports.first_of_each_id(late).select(SILVER_SCHEMA.fieldNames())
+    late = silver_rows(bronze).join(silver.select("txn_id"), "txn_id", "left_anti")
+    first = reports.first_of_each_id(late).withColumn(INGESTED_AT, F.current_timestamp())
+    return first.select(SILVER_SCHEMA.fieldNames())
 
 
 def append(
@@ -94,7 +104,7 @@ def bronze_writer(messages: DataFrame, path: str, checkpoint: str, fmt: str = "p
 
 
 def silver_writer(bronze_stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"):
-    rows = without_repeats(silver_rows(bronze_stream))
+    rows = without_repeats(silver_rows(bronze_stream)).select(SILVER_SCHEMA.fieldNames())
     return append(rows, path, checkpoint, fmt, EVENT_DATE, "silver")
 
 
