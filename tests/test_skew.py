@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from txnguard.functions import quantile
 from txnguard.operators import profile, reports
 from txnguard.plans import catalog
+from txnguard.session import materialise
 from txnguard.sources import events
 from txnguard.sources.tables import write_keyed
+from txnguard.streaming.detection import alerts_of_rows
+from txnguard.streaming.known import Known
 
 SOURCE = "/root/testdata/sf0.01"
 SQL = importlib.import_module("__spark_entry__").oracle_sql()
@@ -92,6 +95,25 @@ def test_hot_join_partition_is_split(cluster_like, folder, key):
             cluster_like.conf.unset(name)
 
 
+def test_hot_sender_of_a_micro_batch_is_split(cluster_like, folder, tmp_path):
+    """The profile is joined inside the batch, where its plan adapts; not in the plan of the stream."""
+    spark, path = cluster_like, str(tmp_path / "silver")
+    now, past = catalog.current(spark, folder), catalog.history(spark, folder)
+    now.withColumns({c: F.col(c).cast("timestamp") for c in ("timestamp", "kafka_timestamp")}).repartition(8).write.parquet(path)
+    values = profile.stored_values(past, [profile.DEVICE, profile.STATE])
+    known = Known(materialise(profile.spend_profile(past)), profile.pairs_of(values, profile.DEVICE), profile.pairs_of(values, profile.STATE))
+    plans = []
+
+    def write(rows, batch_id):
+        found = alerts_of_rows(rows, known, catalog.LOG_PARAMS)
+        found.collect()
+        plans.append(plan_of(found))
+
+    schema = spark.read.parquet(path).schema
+    spark.readStream.schema(schema).parquet(path).writeStream.foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    assert len(plans) == 1 and "skew=true" in plans[0]
+
+
 def test_copies_of_one_row_are_reduced_before_the_shuffle(spark, folder):
     copies = catalog.transactions(spark, folder)
     plan = plan_of(reports.first_of_each_id(copies))

@@ -35,7 +35,7 @@ def ist_hour(df: DataFrame, name: str) -> Column:
 
 
 def iso_ist(df: DataFrame, name: str) -> Column:
-    """``2026-08-02T12:04:42.341331+05:30``: the form in which events are published."""
+    """``2031-02-07T18:45:09.120750+05:30``: the form in which events are published."""
     text = F.date_format(ist_wall_clock(df, name), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return F.concat(text, F.lit(IST_OFFSET))
 
