@@ -99,7 +99,7 @@ def without_repeats(rows, window=13):
     return out
 
 
-def sketch(text, width=5, scale=8):
+def sketch(text, width=5, scale=1):
     """Hashes as Spark's xxhash64 gives them."""
     import xxhash
 
@@ -120,23 +120,26 @@ def sketch(text, width=5, scale=8):
     return sorted(x for x in found if x > (1 << 63) - 1 - (1 << 64) // scale)
 
 
-def fingerprints(rows):
+def fingerprints(rows, scale=1):
     """[(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)]"""
 
-    def like(a, b):
-        return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+    def like(s, t):
+        a, b = sketch(s, scale=scale), sketch(t, scale=scale)
+        if not a and not b:
+            return float(s == t or not (split(s) or split(t)))
+        return len(set(a) & set(b)) / len(set(a) | set(b))
 
     def text(a):
         return "".join(f"{x & (2**64 - 1):016x}" for x in a)
 
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (-(1 << 63) if r[0] is None else r[0], r[1]), reverse=True)
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0], hashlib.md5(r[1].encode()).hexdigest()), reverse=True)
     out = []
     for k, (i, t) in enumerate(rows):
         after = rows[(k + 1) % len(rows)][1]
         third = len(t) // 3
         edited = t[: len(t) - third] + after[:third]
-        a, b, c = sketch(t), sketch(edited), sketch(after)
-        out.append((i, len(t), sha(edited), text(a), text(b), like(a, b), like(a, c)))
+        prints = [text(sketch(x, scale=scale)) for x in (t, edited)]
+        out.append((i, len(t), sha(edited), *prints, like(t, edited), like(t, after)))
     return out
 
 

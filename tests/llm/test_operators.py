@@ -71,6 +71,17 @@ def test_fingerprints_on_odd_rows(spark, odd_docs, no_docs):
     assert sketch.compare_with_next(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 2, 8])
+def test_fingerprints_of_short_texts(spark, scale):
+    """Alike only if the texts are, however few hashes are kept; line ends beyond ASCII are part of words."""
+    texts = [f"{k} short text" for k in range(30)] + ["", " ", "a b \u0085", "a b \u2028", "one two three four five six\n", "x " * 40]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {tuple(r) for r in sketch.compare_with_next(docs, scale=scale).collect()}
+    assert found == set(brute.fingerprints(rows, scale))
+    assert {r[6] for r in found if 1 < r[0] < 30} == {0.0}
+
+
 def test_neighbours_across_ranges(spark, monkeypatch):
     monkeypatch.setattr(sketch, "GROUP", 3)
     rows = [(i * i * 7 - 50, f"text number {i} of a few words more") for i in range(25)]
@@ -82,7 +93,8 @@ def test_ranges_are_cut_by_count(spark, monkeypatch):
     monkeypatch.setattr(sketch, "GROUP", 20)
     ends = [-(1 << 63), (1 << 63) - 1, 1 << 62]
     rows = [(i, f"text number {i} of a few words more") for i in [*range(800), *ends]]
-    rows += [(None, f"text {i} without an id") for i in range(200)]
+    header = "one header that is common to all texts and longer than any prefix that one might look at "
+    rows += [(None, f"{header}{i}") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     source = docs.select(F.col("doc_id").alias("id"), "text")
     sizes = [r["count"] for r in source.groupBy(sketch._ranges(source)).count().collect()]
@@ -93,7 +105,7 @@ def test_ranges_are_cut_by_count(spark, monkeypatch):
 def test_merge_and_containment(spark):
     words = [f"w{i}" for i in range(4000)]
     df = spark.createDataFrame([(" ".join(words), " ".join(words[:400]))], "a string, b string")
-    a, b = sketch.sketch(F.col("a")), sketch.sketch(F.col("b"))
+    a, b = (sketch.sketch(F.col(c), scale=8) for c in "ab")
     row = df.select(a.alias("a"), b.alias("b")).select(
         sketch.containment(F.col("b"), F.col("a")), sketch.containment(F.col("a"), F.col("b")), (sketch.merge(F.col("a"), F.col("b")) == F.col("a"))
     ).first()

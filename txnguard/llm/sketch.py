@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 5
-#: One hash in so many is kept.
-SCALE = 8
+#: One hash in so many is kept. Documents are as short as one shingle, of which any fraction loses all or
+#: nothing, so texts are compared by all of theirs; thin long texts, or what is put together of many.
+SCALE = 1
 _SPACES = r"[\x20\x09-\x0D]+"
 #: Rows per range of neighbours, and the most ranges (one row of each passes through one task).
 GROUP, MOST_GROUPS = 1000, 200_000
-#: So many sampled rows per range make their sizes even; ranges of equal ids are cut by so much of the text.
-SAMPLED, PREFIX = 8, 64
+#: So many sampled rows per range make their sizes even.
+SAMPLED = 8
 
 
 def sketch(text: Column, width: int = WIDTH, scale: int = SCALE) -> Column:
@@ -27,11 +28,9 @@ def sketch(text: Column, width: int = WIDTH, scale: int = SCALE) -> Column:
     Shingles are ``width`` consecutive words (runs of non-space characters, unchanged); a text of
     fewer words, but not none, is one shingle. Null or empty text gives an empty array.
     """
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_SPACES}|{_SPACES}$", "")
-    words = F.filter(F.split(trimmed, _SPACES), lambda w: w != "")
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), _SPACES), lambda w: w != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    bound = (1 << 63) - 1 - ((1 << 64) // scale)
-    return _kept(hashes, width, bound)
+    return _kept(hashes, width, (1 << 63) - (1 << 64) // scale)
 
 
 def _kept(hashes: Column, width: int, bound: int) -> Column:
@@ -45,7 +44,7 @@ def _kept(hashes: Column, width: int, bound: int) -> Column:
         return F.when(n >= width, many).otherwise(few)
 
     whole = F.transform(F.array(hashes), shingles)[0]
-    return F.array_sort(F.array_distinct(F.filter(whole, lambda x: x > bound)))
+    return F.array_sort(F.array_distinct(F.filter(whole, lambda x: x >= F.lit(bound))))
 
 
 def merge(a: Column, b: Column) -> Column:
@@ -58,11 +57,21 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity (estimate), 0 to 1; of two empty fingerprints 1."""
+def likeness(a: Column, b: Column, alike: Column | bool = True) -> Column:
+    """Jaccard similarity (estimate), 0 to 1; of two empty fingerprints 1 if their texts are ``alike``, else 0.
+
+    Without thinning only texts without words have empty ones, and these are alike.
+    """
     both = F.size(F.array_intersect(a, b))
     either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, 1.0).otherwise(both / either)
+    same = alike if isinstance(alike, Column) else F.lit(alike)
+    return F.when(either > 0, both / either).otherwise(same.cast("double"))
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether texts with empty fingerprints are alike: equal, or without words."""
+    wordless = [~F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")) for x in (a, b)]
+    return (a == b) | (wordless[0] & wordless[1])
 
 
 def to_text(a: Column) -> Column:
@@ -70,19 +79,19 @@ def to_text(a: Column) -> Column:
 
 
 def _ranges(source: DataFrame) -> Column:
-    """The number of the range a row lies in, by id and then text: ranges of about GROUP rows each,
-    whatever the ids are.
+    """The number of the range a row lies in, by id and then digest of the text: ranges of about GROUP rows
+    each, whatever the ids are.
 
     Their bounds are every SAMPLED-th of the rows that a hash of id and text picks. A row's range is
     found by the bounds' bounds first, so the work for a row grows with the root of their number.
     """
     n = source.count()
     groups = max(1, min(MOST_GROUPS, n // GROUP))
-    key = F.struct(F.col("id"), F.substring("text", 1, PREFIX).alias("text"))
+    key = F.struct(F.col("id"), F.md5("text").alias("digest"))
     if groups == 1:
         return F.lit(0).alias("part")
     of = 1 << 40
-    picked = F.pmod(F.xxhash64(key["id"], key["text"]), F.lit(of)) < min(of, of * SAMPLED * groups // n)
+    picked = F.pmod(F.xxhash64(key["id"], key["digest"]), F.lit(of)) < min(of, of * SAMPLED * groups // n)
     bounds = (
         source.where(picked).select(key.alias("key")).distinct().agg(F.sort_array(F.collect_list("key")).alias("b"))
         .selectExpr(f"filter(b, (x, i) -> i % {SAMPLED} = {SAMPLED - 1}) AS b")
@@ -103,24 +112,25 @@ def _ranges(source: DataFrame) -> Column:
     return F.coalesce(part[0], F.lit(0)).alias("part")
 
 
-def _neighbours(source: DataFrame, printed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each document beside its next one in descending order of id, after the last the first, in two
-    tables: (id, text, print, next) where both are in one range of ids; (id, text, print, next_text)
-    for the last row of each range, whose next is the first of the range below.
+def _neighbours(source: DataFrame) -> DataFrame:
+    """(id, text, next_text): each document beside its next one in descending order of id, after the last
+    the first.
 
     There is a range for each thousand rows, 200,000 at most; one narrow row of each passes through
-    one task. Of equal ids the order is by text; null ids come last. ``source`` has no fingerprints.
+    one task. Of equal ids the order is by digest of the text; null ids come last.
     """
     part = _ranges(source)
-    inside = Window.partitionBy("part").orderBy(F.col("id").desc_nulls_last(), F.col("text").desc())
-    chained = printed.select("*", part).withColumn("next", F.lead(F.struct("text", "print")).over(inside))
-    firsts = source.groupBy(part).agg(F.max(F.struct("id", "text")).alias("first"))
+    inside = Window.partitionBy("part").orderBy(F.col("id").desc_nulls_last(), F.md5("text").desc())
+    chained = source.select("*", part).withColumn("next_text", F.lead("text").over(inside))
+    firsts = source.groupBy(part).agg(F.max(F.struct("id", F.md5("text").alias("digest"), "text")).alias("first"))
     down = Window.orderBy(F.col("part").desc())
     below = F.coalesce(F.lead("part").over(down), F.max("part").over(down))
     linked = source.groupBy(part).agg(F.count("*")).select("part", below.alias("below"))
-    nexts = firsts.select(F.col("part").alias("below"), F.col("first.text").alias("next_text"))
-    ends = chained.where("next IS NULL").join(linked.join(nexts, "below"), "part")
-    return chained.where("next IS NOT NULL"), ends.select("id", "text", "print", "next_text")
+    nexts = firsts.select(F.col("part").alias("below"), F.col("first.text").alias("first_text"))
+    ends = chained.where("next_text IS NULL").join(linked.join(nexts, "below"), "part")
+    return chained.where("next_text IS NOT NULL").select("id", "text", "next_text").unionByName(
+        ends.select("id", "text", F.col("first_text").alias("next_text"))
+    )
 
 
 def compare_with_next(
@@ -136,23 +146,19 @@ def compare_with_next(
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    printed = source.withColumn("print", sketch(F.col("text"), width, scale))
-    # The table of first rows is made from the bare texts, so that nothing is fingerprinted twice.
-    within, ends = _neighbours(source, printed)
-    both = within.select("id", "text", "print", F.col("next.text").alias("next_text"), F.col("next.print").alias("next_print")).unionByName(
-        ends.withColumn("next_print", sketch(F.col("next_text"), width, scale))
-    )
+    both = _neighbours(source)
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
-    changed = both.select("id", n.cast("long").alias("n_chars"), "print", "next_print", edited.alias("edited"))
-    done = changed.withColumn("edited_print", sketch(F.col("edited"), width, scale))
+    changed = both.withColumns({"n_chars": n.cast("long"), "edited": edited})
+    # Texts are shuffled bare: fingerprints are larger, and made where they are needed.
+    done = changed.withColumns({f"{x}_print": sketch(F.col(x), width, scale) for x in ("text", "next_text", "edited")})
     return done.select(
         F.col("id").alias(id_col),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        to_text(F.col("print")).alias("fingerprint"),
+        to_text(F.col("text_print")).alias("fingerprint"),
         to_text(F.col("edited_print")).alias("edited_fingerprint"),
-        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+        likeness(F.col("text_print"), F.col("edited_print"), _alike(F.col("text"), F.col("edited"))).alias("near_edited"),
+        likeness(F.col("text_print"), F.col("next_text_print"), _alike(F.col("text"), F.col("next_text"))).alias("near_next"),
     )
