@@ -462,7 +462,58 @@ def test_urls_on_odd_rows(spark):
     assert got[0] == ("a.example.com", "/en/x", "example.com/en/", True, "block")
     assert got[1][2:5:2] == ("www.example.com/en/", "allow")
     assert got[2][:3] == got[3][:3] == got[4][:3] == ("", "", None)
-    assert got[5] == ("x.net", "", None, True, "block") and got[6][2] == "net/es/" and got[7] == ("x.net", "/en/", None, True, "block")
+    assert got[5] == ("x.net", "", None, False, "allow") and got[6][2] == "net/es/" and got[7] == ("x.net", "/en/", None, False, "allow")
     assert got[8][:2] == ("h", "") and got[9][:2] == ("b:", "//c/d") and got[10][2] == "com/" and got[11][2] == "com/"
     assert got[12][:3] == ("É.net", "/fr/", "net/fr/")
     assert cascade.judge(df.limit(0), URL_RULES).count() == 0
+
+
+def test_a_long_list_of_rules(spark):
+    """A hundred thousand rules, told from the URLs' own keys; no URL's verdict depends on another."""
+    rng = np.random.default_rng(11)
+    hosts = [f"h{i}.d{i % 400}.org" for i in range(3000)]
+    rules = {}
+    for i in range(100_000):
+        host = hosts[rng.integers(3000)] if i % 3 else f"d{i % 400}.org"
+        rules[host + f"/p{rng.integers(2000)}/"[: rng.integers(1, 7)]] = (("allow", "block")[int(rng.integers(2))], host)
+    table = spark.createDataFrame([(v, h, k[len(h) :]) for k, (v, h) in rules.items()], "verdict string, host string, path string")
+    urls = [(i, f"https://{hosts[rng.integers(3000)]}/p{rng.integers(2500)}/x?y=1") for i in range(3000)] + [(i, f"http://other{i}.com/p1/") for i in range(3000, 3100)]
+    got = {r.page_id: (r.rule, r.verdict) for r in cascade.judge(spark.createDataFrame(urls, "page_id long, url string"), table).collect()}
+    expected = {}
+    for i, url in urls:
+        host, path = url.split("://")[1].split("?")[0].split("/", 1)
+        labels = host.split(".")
+        fits = [k for t in (".".join(labels[n:]) for n in range(3)) for m in range(len(path) + 2) if (k := t + f"/{path}"[:m]) in rules]
+        rule = max(fits, key=lambda k: (len(k), k), default=None)
+        expected[i] = (rule, rules[rule][0] if rule else "allow")
+    assert got == expected
+    assert len({v for _, v in got.values()}) == 2 and sum(r is not None for r, _ in got.values()) > 1000
+
+
+def test_spans_across_the_pieces_of_a_long_line():
+    rng = np.random.default_rng(9)
+    model = spans.fit([f"call +1 ({rng.integers(100, 999)}) 555-{rng.integers(1000, 9999)} today" for _ in range(60)])
+    judge = spans.judge_with(model)
+    numbers = [f"1 ({rng.integers(100, 999)}) 555-{rng.integers(1000, 9999)}" for _ in range(200)]
+    apart = [len(spans.added_spans(f"call {x} today", [], judge)) for x in numbers]
+    line = "; ".join(numbers)
+    found = spans.added_spans(line, [], judge)
+    assert sum(apart) == 200 and [line[s:e] for _, s, e in found] == numbers
+
+
+def test_an_item_of_very_many_different_words(spark):
+    """More than 21 bits can number, in one item that is larger than a block."""
+    n = (1 << 21) + 5
+    item = " ".join(f"w{i}" for i in range(n))
+    passage = " ".join(f"w{i}" for i in range(n - 40, n - 10))
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "w1 w2 w4")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", item)], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.longest) for r in suffix.find_matches(docs, items).collect()}
+    assert got == {1: (32, 30, ["a"], 30), 2: (3, 0, [], 0)}
+
+
+def test_the_sample_of_a_repeated_id_is_the_same_in_any_order(spark):
+    rows = [(1, f"text {i} of one id") for i in range(40)] + [(k, f"text {k} of its own") for k in range(2, 30)]
+    ratings = spark.createDataFrame([(k, k % 3) for k in range(1, 30)], "doc_id long, grade int")
+    models = [ordinal.train(spark.createDataFrame(r, "doc_id long, text string").repartition(5), ratings, grades=3, sample=4) for r in (rows, rows[::-1])]
+    assert (models[0].weights == models[1].weights).all() and (models[0].thresholds == models[1].thresholds).all()

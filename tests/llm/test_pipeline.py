@@ -46,3 +46,21 @@ def test_run_is_registered_and_repeats(spark):
     assert first and first == sorted((r.doc_id, r.taken) for r in corpus_pipeline.run(spark, FOLDER).collect())
 
 
+def test_every_stage_on_odd_rows(spark, odd_docs, no_docs):
+    """Nulls, repeated rows, names that clash with those of the plan, missing columns, no rows."""
+    odd_docs = odd_docs.where("text IS NULL OR length(text) < 1000")  # long ones: see the tests of each operator
+    clashing = odd_docs.withColumns({c: F.lit(1) for c in ("target", "taken", "repeats", "mix_size")})
+    bare = odd_docs.select("doc_id", "text", "source")
+    stages = dict(corpus_pipeline.STAGES)
+    for docs, names in ((clashing, list(stages)), (bare, ["personal_data", "mixture"]), (no_docs, ["toxicity", "decontamination", "personal_data", "mixture"])):
+        for name in names:
+            stage = stages[name]
+            after = materialise(stage(spark, docs, FOLDER))
+            assert after.columns[: len(docs.columns)] == docs.columns
+            assert after.count() <= docs.count()
+            if name != "mixture":
+                assert after.columns == docs.columns
+    plan = corpus_pipeline.mixture(spark, clashing, FOLDER)
+    assert plan.columns[len(clashing.columns) :] == ["mix_mix_size", "source_size", "mix_target", "mix_repeats", "extra", "mix_taken"]
+    kept = {r.doc_id for r in plan.collect()}
+    assert kept <= {r.doc_id for r in odd_docs.collect()} and 11 in kept

@@ -49,15 +49,18 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
 
 
-def matched_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Column]:
-    """(text, verdict) of the longest rule that fits, null if none does. For a short list of rules."""
-    text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    # The last one asked is the first in the chain; so the longest comes last.
-    for rule in sorted(rules, key=lambda r: (len(r.text), r.text)):
-        fits = ((host == rule.host) | host.endswith(f".{rule.host}")) & path.startswith(rule.path)
-        text = F.when(fits, F.lit(rule.text)).otherwise(text)
-        verdict = F.when(fits, F.lit(rule.verdict)).otherwise(verdict)
-    return text, verdict
+def _tails(host: Column) -> Column:
+    """A host and all domains that it is a subdomain of."""
+    labels = F.split(host, r"\.", -1)
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def keys_of(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """The keys of a URL that a rule may list: the domains of so many labels, each with the beginnings of
+    the path that are so long."""
+    domains = F.filter(_tails(host), lambda d: F.array_contains(F.lit(labels), F.size(F.split(d, r"\.", -1))))
+    begins = F.filter(F.lit(lengths), lambda n: n <= F.length(path))
+    return F.flatten(F.transform(domains, lambda d: F.transform(begins, lambda n: F.concat(d, F.substring(path, F.lit(1), n)))))
 
 
 @dataclass
@@ -77,7 +80,8 @@ class Cascade:
 
 
 def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(level * 64 + i)), F.lit(bits)) for i in range(hashes)]
+    # The level comes first: keys that collide at one level then do not at the next.
+    return [F.pmod(F.xxhash64(F.lit(level * 64 + i), key), F.lit(bits)) for i in range(hashes)]
 
 
 def _passes(level: Level, number: int, key: Column) -> Column:
@@ -141,22 +145,33 @@ def mark(df: DataFrame, key: str, cascade: Cascade, name: str = "listed") -> Dat
     return df.withColumn(name, F.col(key).isNotNull() & answer)
 
 
-def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(<id>, host, path, rule, listed, verdict) of each row.
 
-    The longest fitting rule decides. Where none fits, the host does: it is listed, and its pages
-    blocked, if a rule blocks any page of it. The listed hosts among all hosts of the table are told
-    by the cascade. A null URL, or one without ``://``, has an empty host and path. Repeated rows are
-    judged each for itself; other columns are not looked at; an empty table gives no rows.
+    The rules' keys are listed in a cascade over all keys that the table's URLs can be listed by, and
+    those that block in a second one over the listed keys. A URL's keys are asked for one by one; the
+    longest listed one is its rule (of equally long ones the greater), and decides. A URL without one is
+    not listed, and allowed. A null URL, or one without ``://``, has an empty host and path. Of rules with
+    the same key, one that blocks counts. Repeated rows are judged each for itself; other columns are not
+    looked at; an empty table gives no rows. ``rules`` may be a table (verdict, host, path) of any length.
     """
+    spark = pages.sparkSession
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    named = materialise(rules.select("verdict", F.concat("host", "path").alias("key"), F.size(F.split("host", r"\.", -1)).alias("labels"), F.length("path").alias("length")))
+    labels, lengths = (sorted(r[0] for r in named.select(c).distinct().collect()) for c in ("labels", "length"))
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
-    parsed = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    rule, verdict = matched_rule(rules, F.col("host"), F.col("path"))
-    ruled = parsed.withColumns({"rule": rule, "ruled": verdict})
-    hosts = materialise(
-        ruled.groupBy(F.col("host").alias("key")).agg(F.coalesce(F.bool_or(F.col("ruled") == "block"), F.lit(False)).alias("blocked"))
+    parsed = pages.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    keys = keys_of(F.col("host"), F.col("path"), labels, lengths) if labels else F.array().cast("array<string>")
+    asked = parsed.withColumn("key", F.explode_outer(keys))
+    universe = materialise(asked.select("key").distinct())
+    listed = build(named.select("key"), universe)
+    blocked = build(named.where("verdict = 'block'").select("key"), named.select("key").distinct())
+    told = mark(mark(asked, "key", listed), "key", blocked, "blocked")
+    best = F.max(F.when(F.col("listed"), F.struct(F.length("key").alias("n"), "key", "blocked"))).alias("best")
+    # A row's keys lie together, so each task sends one row for it.
+    rows = told.groupBy("at", "id", "host", "path").agg(best)
+    verdict = F.when(F.col("best.blocked"), "block").otherwise("allow")
+    return rows.select(
+        F.col("id").alias(id_col), "host", "path", F.col("best.key").alias("rule"), F.col("best").isNotNull().alias("listed"), verdict.alias("verdict")
     )
-    cascade = build(hosts.where("blocked"), hosts)
-    marked = mark(ruled, "host", cascade)
-    by_host = F.when(F.col("listed"), "block").otherwise("allow")
-    return marked.select(id_col, "host", "path", "rule", "listed", F.coalesce("ruled", by_host).alias("verdict"))

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,14 +122,19 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     total = dict(known.groupBy("grade").count().collect())
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     source = source.where(F.length("text") <= MAX_CHARS)
-    texts, grade, weight = [], [], []
+    picked = []
     for g in sorted(total):
         these = known.where(F.col("grade") == g).withColumn("h", F.xxhash64("id"))
-        some = thinned(these, total[g], sample).distinct().orderBy("h", "id").limit(sample).drop("h")
-        rows = sorted(r["text"] for r in source.join(F.broadcast(some), "id").select("text").limit(2 * sample).collect())
-        texts += rows
-        grade += [g] * len(rows)
-        weight += [total[g] / max(1, len(rows))] * len(rows)
+        picked.append(thinned(these, total[g], sample).distinct().orderBy("h", "id").limit(sample))
+    if not picked:
+        return fit([], np.array([], np.int64), np.array([], np.float64), grades)
+    # All grades in one pass over the texts. A rated id may be that of many rows: these are cut in order.
+    some = source.join(F.broadcast(reduce(DataFrame.unionByName, picked)), "id")
+    place = F.row_number().over(Window.partitionBy("grade").orderBy("h", "id", F.xxhash64("text"), "text"))
+    rows = some.withColumn("n", place).where(F.col("n") <= 2 * sample).select("grade", "text").collect()
+    rows = sorted((r["grade"], r["text"]) for r in rows)
+    texts, grade = [t for _, t in rows], [g for g, _ in rows]
+    weight = [total[g] / grade.count(g) for g in grade]
     return fit(texts, np.array(grade, np.int64), np.array(weight, np.float64), grades)
 
 

@@ -242,13 +242,10 @@ ORACLE_SQL: dict[str, str] = {
                 WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/'
                 END AS rule
             FROM p
-        ), v AS (
-            SELECT *, coalesce(bool_or(rule IN ('example.com/en/', 'net/es/', 'net/fr/')) OVER (PARTITION BY host), false) AS listed FROM r
         )
-        SELECT page_id, host, path, rule, listed,
-            CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow'
-                WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
-        FROM v""",
+        SELECT page_id, host, path, rule, rule IS NOT NULL AS listed,
+            CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM r""",
     "op11_merkle_manifest": """
         WITH RECURSIVE crc_table AS (
             SELECT list(list_reduce([c] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY c) AS t

@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from txnguard.llm.sampling import thinned
 
 KINDS = ("email", "ip", "card", "phone")
-#: Atoms of the longest entity, and the least marginal of a span that is added.
-MOST_ATOMS, SURE = 24, 0.75
+#: Atoms of the longest entity, of a piece that a long region is judged in, and the least marginal of a
+#: span that is added.
+MOST_ATOMS, PIECE, SURE = 24, 400, 0.75
 #: The fit looks at this many texts at most, none longer than MAX_CHARS, and as many regions at most.
 SAMPLE_DOCS, MAX_CHARS, SAMPLE_REGIONS = 1500, 20_000, 1500
 
@@ -296,8 +297,9 @@ def fit(texts: list[str], rounds: int = 40) -> Model:
 
 
 def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DOCS) -> Model:
-    """A model from at most ``sample`` texts of up to 20,000 characters that hold digits or an @; which
-    ones is decided by a hash of the text, so reruns agree. Without such texts nothing is added."""
+    """A model from at most ``sample`` texts of up to MAX_CHARS characters that hold digits or an @; which
+    ones is decided by a hash of the text, so reruns agree. Of these texts the first SAMPLE_REGIONS
+    different regions of up to 400 characters are learned from. Without such texts nothing is added."""
     text = F.col(text_col).cast("string")
     useful = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).where(
         (F.length("text") <= MAX_CHARS) & F.col("text").rlike("@|[0-9][0-9 .()-]{5,}")
@@ -328,21 +330,20 @@ def judge_with(model: Model):
     def judge(left: str, region: str, right: str) -> tuple[Span, ...]:
         out = []
         atoms = _ATOM.findall(region)
-        # Long regions in pieces that end at spaces, each far longer than any entity.
-        begin, offset = 0, 0
+        at = np.cumsum([0, *map(len, atoms)])
+        # Long regions in pieces that reach into the next one by the longest entity. What begins in a
+        # piece is told there, and the next piece begins where that ends.
+        begin = 0
         while begin < len(atoms):
-            stop = min(len(atoms), begin + 400)
-            while begin + 200 < stop < len(atoms) and atoms[stop - 1] != " ":
-                stop -= 1
-            piece = atoms[begin:stop]
-            grid = lattice(model.number, piece, left if not begin else atoms[begin - 1][-1], right if stop == len(atoms) else atoms[stop][0])
-            found = decode(grid, model.weights)
+            core = begin + PIECE
+            stop = min(len(atoms), core + MOST_ATOMS)
+            before, after = left if not begin else atoms[begin - 1][-1], right if stop == len(atoms) else atoms[stop][0]
+            grid = lattice(model.number, atoms[begin:stop], before, after)
+            found = [x for x in decode(grid, model.weights) if begin + x[0] < core]
             if found:
                 p, _ = marginals(grid, model.weights)
-                at = np.cumsum([0, *map(len, piece)]) + offset
-                out += [(KINDS[kind], int(at[i]), int(at[j])) for i, j, kind, k in found if p[k, kind] >= SURE]
-            offset += sum(map(len, piece))
-            begin = stop
+                out += [(KINDS[kind], int(at[begin + i]), int(at[begin + j])) for i, j, kind, k in found if p[k, kind] >= SURE]
+            begin = max(core, begin + found[-1][1] if found else 0)
         return tuple(out)
 
     return judge

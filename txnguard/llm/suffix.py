@@ -23,7 +23,8 @@ WINDOW = 13
 BLOCK_BYTES = 16 << 20
 #: About so many places of windows are followed at once.
 PLACES = 1 << 20
-_PACK = 3  # word numbers of 21 bits in one sort key
+#: Word numbers that a sort key holds, if a block has no more than fit into 21 bits each, and else.
+_PACK, _FEWER = 3, 2
 
 
 @dataclass
@@ -46,8 +47,6 @@ class Tests:
 def prepare(ids: list, texts: list, window: int = WINDOW) -> Tests:
     found = find_words(pa.array(texts, pa.string()), ALPHANUMERIC, LOWER)
     vocabulary = np.unique(found.hash)
-    if len(vocabulary) >= 1 << 21:
-        raise ValueError("a block of items has too many distinct words: use smaller blocks")
     number = np.searchsorted(vocabulary, found.hash).astype(np.int64) + 1
     # A zero after each item, and enough at the end for reads past it.
     at = np.arange(len(number)) + found.row
@@ -82,6 +81,8 @@ class Shard:
         near = np.searchsorted(tests.vocabulary, found.hash)
         near[near == len(tests.vocabulary)] = 0
         known = tests.vocabulary[near] == found.hash if len(tests.vocabulary) else near < 0
+        pack = _PACK if len(tests.vocabulary) < (1 << 21) - 1 else _FEWER
+        bits = 63 // pack
         self.words = np.zeros(len(found.hash) + len(found.counts) + depth + _PACK, np.int64)
         self.words[np.arange(len(found.hash)) + found.row] = np.where(known, near + 1, 0)
         self.row = np.repeat(np.arange(len(found.counts)), found.counts + 1)
@@ -92,10 +93,10 @@ class Shard:
         run = zero[np.searchsorted(zero, np.arange(n))] - np.arange(n)
         at = np.flatnonzero(run >= least)
         keys = []
-        for k in range(0, depth, _PACK):
+        for k in range(0, depth, pack):
             key = np.zeros(len(at), np.int64)
-            for j in range(_PACK):
-                key = (key << 21) | np.where(run[at] > k + j, self.words[np.minimum(at + k + j, len(self.words) - 1)], 0)
+            for j in range(pack):
+                key = (key << bits) | np.where(run[at] > k + j, self.words[np.minimum(at + k + j, len(self.words) - 1)], 0)
             keys.append(key)
         self.array = at[np.lexsort(keys[::-1])]
 
@@ -302,7 +303,7 @@ def find_matches(
     (only with ``locations``).
 
     The items are the query set. They are taken in blocks of 16 MB of text, whatever their number,
-    and one block is broadcast at a time. Null text has no words. An item without id counts for
+    and one block is broadcast at a time; an item that is longer is a block of its own. Null text has no words. An item without id counts for
     n_hit, but is not listed. Repeated rows are judged each for itself. Without items nothing is hit;
     without documents there are no rows. Other columns are not looked at.
     """
