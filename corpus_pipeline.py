@@ -1,5 +1,8 @@
 """Prepares a corpus of documents for training: toxic documents out, one of each group of near
-duplicates, no benchmark passages, personal data masked, sources mixed to their weights."""
+duplicates, no benchmark passages, personal data masked, sources mixed to their weights.
+
+Stages take any table of documents with doc_id, text and source: nulls in any column, repeated rows, equal
+ids, columns of any other name, no rows. All but the last give the columns they were given."""
 
 from __future__ import annotations
 
@@ -14,29 +17,50 @@ from txnguard.sources.tables import read_table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain field, trained on the labels that may be learned from, finds toxic go."""
+    """Documents that the chain field, trained on the labels that may be learned from, finds toxic go.
+
+    Null and empty texts are scored like any, whole however long. Repeated rows are judged alike.
+    """
     return toxic.reject_toxic(docs, toxic_model(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least id stays."""
+    """Of each class of near duplicates the document with the least id stays.
+
+    Null and empty texts are one class. Of repeated rows one stays; a null id comes last.
+    """
     return dart.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more lies in benchmark passages go."""
+    """Documents of which a twentieth or more lies in benchmark passages go; those without words stay.
+
+    Repeated rows are judged each for itself.
+    """
     return suffix.decontaminate(docs, read_table(spark, f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data are masked, and n_chars follows the text."""
-    return spans.mask(docs, spans.train(docs), length_col="n_chars")
+    """Personal data are masked, and n_chars, where there is such a column, follows the text. No row goes;
+    null texts stay null."""
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return spans.mask(docs, spans.train(docs), length_col=length)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with how often it repeats each and how many of its words it takes."""
-    plan = mixing.plan_mix(docs, carried=docs.columns)
-    return plan.where("taken > 0").select("row.*", "size", "source_size", "target", "repeats", "extra", "taken")
+    """The documents of the mix, with how often it repeats each and how many of its words it takes.
+
+    Documents without words are not in it. Where a column has the name of one of the plan's, the plan's is
+    called ``mix_`` and that.
+    """
+    plan = mixing.plan_mix(docs, carried=docs.columns).where("taken > 0")
+    named = []
+    for column in ("size", "source_size", "target", "repeats", "extra", "taken"):
+        name = column
+        while name in docs.columns:
+            name = f"mix_{name}"
+        named.append(plan[column].alias(name))
+    return plan.select("row.*", *named)
 
 
 STAGES = [
