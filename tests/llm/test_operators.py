@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from txnguard.llm import anchors, archive, cascade, dart, mixing, ordinal, sketch, spans, suffix, toxic
+from txnguard.llm import anchors, archive, cascade, dart, mixing, ordinal, sketch, spans, suffix, toxic, words
 from txnguard.session import shared_folder
 
 
@@ -517,3 +517,17 @@ def test_the_sample_of_a_repeated_id_is_the_same_in_any_order(spark):
     ratings = spark.createDataFrame([(k, k % 3) for k in range(1, 30)], "doc_id long, grade int")
     models = [ordinal.train(spark.createDataFrame(r, "doc_id long, text string").repartition(5), ratings, grades=3, sample=4) for r in (rows, rows[::-1])]
     assert (models[0].weights == models[1].weights).all() and (models[0].thresholds == models[1].thresholds).all()
+
+
+def test_words_whose_hashes_collide_are_told_apart(spark):
+    """The Thue-Morse words of a, b and of b, a have the same polynomial hash, whatever its base."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    hashes = words.find_words(pa.array([one, other])).hash
+    assert hashes[0] == hashes[1]
+    line = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{line} {one} tail"), (2, f"{line} {other} tail"), (3, f"head {line}  {one}"), ((1 << 63) - 1, f"x {line} {one} y"), (None, f"{line}\n{one}")]
+    got = {r.doc_id: tuple(r)[1:] for r in anchors.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=False).collect()}
+    expected = {i: tuple(x) for i, *x in brute.without_repeats([(1 << 63 if i is None else i, t) for i, t in rows])}
+    assert got == {None if i == 1 << 63 else i: x for i, x in expected.items()}
+    assert got[2][1] == 0 and got[3][1] == 13

@@ -8,7 +8,8 @@ it are compared in full.
 
 Hashes travel in packed blocks, dealt by hash. A hash that one batch holds several times is decided
 there as far as it can be, and sent once; so a hash has at most one entry per batch, however many
-documents hold it.
+documents hold it. Anchors are hashes of 64 bits: where two differ but collide, windows are compared for
+nothing. Windows are told by 128 bits of a cryptographic hash of their words, texts by MD5.
 """
 
 from __future__ import annotations
@@ -22,17 +23,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.words import Words, find_words, row_slices, windows
+from txnguard.llm.words import find_words, row_slices, windows
 from txnguard.session import materialise
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
-#: Words per partition of the exchange of hashes, and bounds on the number of partitions.
-PART_WORDS, LEAST_PARTS, MOST_PARTS = 4_000_000, 32, 20_000
+#: Words per range of hashes, which are compared at a time; the least number of ranges, and the most
+#: partitions that they are dealt to, each partition taking its ranges one after the other.
+PART_WORDS, LEAST_PARTS, MOST_TASKS = 2_000_000, 16, 20_000
 _LAST = (1 << 63) - 1
-_PACKED = "part int, owner bigint, positions binary"
-#: A window: its hash, what decides who is smaller, the text it lies in, and its first word there.
-_ENTRY = np.dtype([("hash", "<u8"), ("rank", "<i8"), ("owner", "<i8"), ("at", "<i4")])
+_PACKED = "part bigint, owner bigint, positions binary"
+#: A window: its hash, what decides who is smaller, the text it lies in, its first word there, and the
+#: rest of its hash.
+_ENTRY = np.dtype([("hash", "<u8"), ("rank", "<i8"), ("owner", "<i8"), ("at", "<i4"), ("more", "<u8")])
 
 
 def difference_cover(period: int, cover: tuple[int, ...]) -> np.ndarray:
@@ -63,9 +66,9 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def _groups(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries in order of hash, and where each hash begins."""
-    entries = entries[np.argsort(entries["hash"], kind="stable")]
+    entries = entries[np.lexsort((entries["more"], entries["hash"]))]
     new = np.ones(len(entries), bool)
-    new[1:] = entries["hash"][1:] != entries["hash"][:-1]
+    new[1:] = (entries["hash"][1:] != entries["hash"][:-1]) | (entries["more"][1:] != entries["more"][:-1])
     return entries, np.flatnonzero(new)
 
 
@@ -102,7 +105,7 @@ def _by_owner(found: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([r[0] for r in rows], pa.int32()),
+            pa.array([r[0] for r in rows], pa.int64()),
             pa.array([r[1] for r in rows], pa.int64()),
             pa.array([r[2] for r in rows], pa.binary()),
         ],
@@ -117,9 +120,9 @@ def _deal(pick: Callable, parts: int, smaller: bool):
         for batch in batches:
             held, words_held = [], 0
             for part in _with_text(batch):
-                hashes, row, at = pick(part)
+                hashes, more, row, at = pick(part)
                 entries = np.empty(len(hashes), _ENTRY)
-                entries["hash"], entries["at"] = hashes, at
+                entries["hash"], entries["more"], entries["at"] = hashes, more, at
                 for c in ("rank", "owner"):
                     entries[c] = part.column(c).to_numpy()[row]
                 held.append(entries)
@@ -132,16 +135,14 @@ def _deal(pick: Callable, parts: int, smaller: bool):
 
     def send(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
         told, open_ = _repeated(entries, smaller)
-        # Sorted by hash, so each partition is a range of hashes.
-        bounds = [(p << 64) // parts for p in range(parts)]
-        cut = np.searchsorted(open_["hash"], np.array(bounds, np.uint64))
-        cut = np.append(cut, len(open_))
+        # Sorted by hash, so each range is a slice.
+        part = ((open_["hash"] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        cut = np.flatnonzero(np.diff(part)) + 1
         rows = []
-        for p in range(parts):
-            if cut[p] < cut[p + 1]:
-                block = open_[cut[p] : cut[p + 1]]
-                block = block[np.lexsort((block["at"], block["owner"]))]
-                rows.append((p, None, _pack(block)))
+        for block in np.split(open_, cut) if len(open_) else []:
+            number = int(((int(block["hash"][0]) >> 32) * parts) >> 32)
+            block = block[np.lexsort((block["at"], block["owner"]))]
+            rows.append((number, None, _pack(block)))
         rows += _by_owner(told, parts)
         for i in range(0, len(rows), 2000):
             yield _emit(rows[i : i + 2000])
@@ -176,24 +177,32 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(parts: int, smaller: bool):
-    """What is repeated over all batches, from the packed hashes of one partition."""
+    """What is repeated over all batches, from packed hashes in order of their ranges, a range at a time."""
+
+    def told_of(blocks: list[bytes], passed: dict[int, list[np.ndarray]]) -> list[tuple]:
+        rows = [(0, owner, np.unique(np.concatenate(x)).tobytes()) for owner, x in passed.items()]
+        if blocks:
+            rows += _by_owner(_repeated(np.concatenate([_unpack(x) for x in blocks]), smaller)[0], parts)
+        return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, list[bytes]] = {}
-        passed: dict[int, list[np.ndarray]] = {}
+        current, blocks, passed, rows = None, [], {}, []
         for batch in batches:
             for part, owner, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if part != current:
+                    rows += told_of(blocks, passed)
+                    current, blocks, passed = part, [], {}
+                    if len(rows) > 2000:
+                        yield _emit(rows)
+                        rows = []
                 if owner is None:
-                    blocks.setdefault(part, []).append(data)
+                    blocks.append(data)
                 else:
                     own = passed.setdefault(owner, [])
                     own.append(np.frombuffer(data, np.int32))
                     if len(own) > 64:
                         own[:] = [np.unique(np.concatenate(own))]
-        rows = [(0, owner, np.unique(np.concatenate(x)).tobytes()) for owner, x in passed.items()]
-        for part in list(blocks):
-            told, _ = _repeated(np.concatenate([_unpack(x) for x in blocks.pop(part)]), smaller)
-            rows += _by_owner(told, parts)
+        rows += told_of(blocks, passed)
         for i in range(0, len(rows), 2000):
             yield _emit(rows[i : i + 2000])
 
@@ -201,23 +210,24 @@ def _compare(parts: int, smaller: bool):
 
 
 def _found(texts: DataFrame, pick: Callable, parts: int, smaller: bool) -> DataFrame:
-    """(owner, positions): where each owner's windows are repeated. ``texts`` has rank, owner, text.
+    """(owner, positions): where each owner's windows are repeated. ``texts`` has rank, owner, packed.
 
-    An owner's list has an entry per partition of the exchange at most."""
+    An owner's list has an entry per range of hashes at most."""
     dealt = texts.mapInArrow(_deal(pick, parts, smaller), _PACKED)
-    told = dealt.repartition(parts, "part").mapInArrow(_compare(parts, smaller), _PACKED)
+    ranged = dealt.repartition(min(parts, MOST_TASKS), "part").sortWithinPartitions("part")
+    told = ranged.mapInArrow(_compare(parts, smaller), _PACKED)
     return told.groupBy("owner").agg(F.collect_list("positions").alias("positions"))
 
 
 def _anchors(window: int, period: int, cover: tuple[int, ...]):
     covered = difference_cover(period, cover)
 
-    def pick(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pick(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         words = find_words(part.column("text"))
         hashes, at = windows(words, window - period + 1)
         inner = at - words.first[words.row[at]]
         kept = covered[inner % period] & (words.counts[words.row[at]] >= window)
-        return hashes[kept], words.row[at[kept]], inner[kept]
+        return hashes[kept], np.zeros(int(kept.sum()), np.uint64), words.row[at[kept]], inner[kept]
 
     return pick
 
@@ -232,15 +242,21 @@ def _starts(positions: list[bytes], n: int, window: int, period: int) -> np.ndar
 
 
 def _candidates(window: int, period: int):
-    def pick(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        words = find_words(part.column("text"))
-        hashes, at = windows(words, window)
-        wanted = np.zeros(len(words.hash) + 1, bool)
-        for i, positions in enumerate(part.column("positions").to_pylist()):
-            wanted[words.first[i] + _starts(positions, int(words.counts[i]), window, period)] = True
-        kept = wanted[at]
-        row = words.row[at[kept]]
-        return hashes[kept], row, at[kept] - words.first[row]
+    """The windows around shared anchors, whole: by a hash of their words with one space between."""
+
+    def pick(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        digests, row, at = [], [], []
+        for i, (text, positions) in enumerate(zip(part.column("text").to_pylist(), part.column("positions").to_pylist(), strict=True)):
+            split = text.encode().split()
+            starts = _starts(positions, len(split), window, period)
+            line, ends = b" ".join(split), np.cumsum([len(w) + 1 for w in split])
+            begins = np.concatenate([[0], ends[:-1]])
+            for s in starts.tolist():
+                digests.append(hashlib.blake2b(line[begins[s] : ends[s + window - 1] - 1], digest_size=16).digest())
+            row.append(np.full(len(starts), i))
+            at.append(starts)
+        both = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+        return both[:, 0], both[:, 1], np.concatenate(row), np.concatenate(at)
 
     return pick
 
@@ -263,8 +279,8 @@ def _cut(window: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _with_text(whole)):
             rows = []
-            columns = (batch.column(c).to_pylist() for c in ("id", "digest", "text", "positions"))
-            for id_, digest, text, positions in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("digest", "text", "positions"))
+            for digest, text, positions in zip(*columns, strict=True):
                 words = text.encode().split()
                 change = np.zeros(len(words) + 1, np.int32)
                 at = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in positions]))
@@ -272,10 +288,10 @@ def _cut(window: int, keep_text: bool):
                 np.add.at(change, at + window, -1)
                 left = np.cumsum(change)[: len(words)] == 0
                 kept = b" ".join(w for w, k in zip(words, left, strict=True) if k)
-                rows.append((id_, digest, int(len(words) - left.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
+                rows.append((digest, int(len(words) - left.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                ["id", "digest", "n_removed", "kept_sha", "kept"],
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.string(), pa.string()))],
+                ["digest", "n_removed", "kept_sha", "kept"],
             )
 
     return run
@@ -298,39 +314,35 @@ def remove_repeats(
 
     Ids are integers. Windows are judged on the input. Texts that are equal are compared once, for
     the least of their ids; the others lose all words (if they have ``window`` words). Null text has
-    no words. A null id counts as larger than all. Rows with equal ids do not take words from each
+    no words. A null id counts as the largest. Rows with equal ids do not take words from each
     other, as neither is smaller. Very long texts are handled whole. Other columns are not looked at.
-    An empty table gives no rows. Windows are compared by hashes of 64 bits.
+    An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(
-        F.coalesce(F.col(id_col), F.lit(_LAST)).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("digest")
-    )
-    summary = materialise(source.mapInArrow(_summary, "id long, digest long, n_words long, sha string"))
-    least = summary.groupBy("digest").agg(F.min("id").alias("least"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
+    summary = materialise(source.mapInArrow(_summary, "id long, digest binary, n_words long, sha string"))
     n_words = summary.agg(F.sum("n_words")).first()[0] or 0
-    parts = int(min(MOST_PARTS, max(LEAST_PARTS, n_words // PART_WORDS)))
-    digest = F.col("digest")
-    shared = _found(
-        source.select(digest.alias("rank"), digest.alias("owner"), "text"), _anchors(window, period, cover), parts, False
-    )
-    # The documents to compare in full, one per distinct text. Copies combine before the shuffle.
-    packed = source.mapInArrow(_squeeze, "id long, digest long, packed binary")
-    texts = packed.groupBy("digest").agg(F.min("id").alias("id"), F.first("packed").alias("packed"))
-    near = materialise(texts.join(shared.withColumnRenamed("owner", "digest"), "digest"))
-    repeated = _found(
-        near.select(F.col("id").alias("rank"), digest.alias("owner"), "packed", "positions"), _candidates(window, period), parts, True
-    )
-    removed = (
+    parts = int(max(LEAST_PARTS, n_words // PART_WORDS))
+    # The documents to compare, one per distinct text, numbered. Copies combine before the shuffle.
+    packed = source.mapInArrow(_squeeze, "id long, digest binary, packed binary")
+    distinct = packed.groupBy("digest").agg(F.min("id").alias("least"), F.first("packed").alias("packed"))
+    texts = materialise(distinct.withColumn("owner", F.monotonically_increasing_id()))
+    owner = F.col("owner")
+    shared = _found(texts.select(owner.alias("rank"), "owner", "packed"), _anchors(window, period, cover), parts, False)
+    near = materialise(texts.join(materialise(shared), "owner"))
+    rank = F.coalesce("least", F.lit(_LAST)).alias("rank")
+    repeated = _found(near.select(rank, "owner", "packed", "positions"), _candidates(window, period), parts, True)
+    removed = materialise(
         near.drop("positions")
-        .join(repeated.withColumnRenamed("owner", "digest"), "digest")
-        .select("id", "digest", "packed", "positions")
-        .mapInArrow(_cut(window, keep_text), "id long, digest long, n_removed long, kept_sha string, kept string")
+        .join(materialise(repeated), "owner")
+        .select("digest", "packed", "positions")
+        .mapInArrow(_cut(window, keep_text), "digest binary, n_removed long, kept_sha string, kept string")
     )
-    copy = (F.col("least") < F.col("id")) & (F.col("n_words") >= window)
-    out = summary.join(least, "digest").join(removed, ["id", "digest"], "left")
+    out = summary.join(texts.select("digest", "least"), "digest").join(removed, "digest", "left")
+    smaller = (F.col("least") < F.col("id")) | (F.col("id").isNull() & F.col("least").isNotNull())
+    copy = smaller & (F.col("n_words") >= window)
     return out.select(
-        F.when(F.col("id") != _LAST, F.col("id")).alias(id_col),
+        F.col("id").alias(id_col),
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
