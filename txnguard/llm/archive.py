@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnguard.session import materialise
+
 REVISIT_BYTES = 1000
 CRLF = "\r\n"
 #: All records carry this time unless a column is named: the tables have none.
@@ -35,6 +37,11 @@ def _record_id(page: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _block_digest(kind: Column, digest: Column) -> Column:
+    """Of a record's own block: that of a revisit is empty."""
+    return F.when(kind == "revisit", F.sha2(F.lit(""), 256)).otherwise(digest)
+
+
 def _header(kind: Column, date: Column) -> Column:
     """The header block of a record, up to and with its empty line."""
 
@@ -59,7 +66,7 @@ def _header(kind: Column, date: Column) -> Column:
         line("WARC-Target-URI", url),
         line("WARC-Page", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        line("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
+        line("WARC-Block-Digest", F.concat(F.lit("sha256:"), _block_digest(kind, F.col("digest")))),
         line("WARC-Payload-Length", F.col("bytes").cast("string")),
         refers,
         line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -104,7 +111,8 @@ def write_archive(
         "page_id", "url", "date", digest.alias("digest"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("bytes")
     )
     response = heads.where(F.col("bytes") >= revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("refers_to"))
-    joined = heads.join(response, "digest", "left")
+    # Joined straight from the aggregation, the rows of a hot payload would stay in one task.
+    joined = heads.join(materialise(response), "digest", "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     kind = F.when(revisit, "revisit").otherwise("response")
     records = joined.withColumn("refers_to", F.when(revisit, F.col("refers_to")))
@@ -145,7 +153,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     )
     verified = (
         F.col("whole")
-        & (F.col("said_digest") == F.concat(F.lit("sha256:"), F.col("digest")))
+        & (F.col("said_digest") == F.concat(F.lit("sha256:"), _block_digest(F.col("record_type"), F.col("digest"))))
         & (F.col("said_sha1") == F.concat(F.lit("sha1:"), F.col("payload_digest")))
         & (F.col("said_bytes") == F.col("payload_bytes").cast("string"))
     )
