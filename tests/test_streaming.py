@@ -104,6 +104,7 @@ def known_from(spark, rows):
 def test_ingest_keeps_valid_rows_and_sets_the_rest_aside(spark, lake):
     smoke = {"txn_id": "s", "sender_upi": "a@b", "receiver_upi": "c@d", "amount": 5.0}
     naive = txn(txn_id="naive", timestamp=NOON.replace(tzinfo=None))
+    more = message(txn(txn_id="more"))[1][:-1] + b', "channel": "app"}'
     add_messages(
         spark,
         lake.at("topic"),
@@ -113,19 +114,21 @@ def test_ingest_keeps_valid_rows_and_sets_the_rest_aside(spark, lake):
             (b"a@b", json.dumps(smoke).encode(), NOON),
             message(naive, at=NOON),
             (b"x", b"{broken", NOON),
+            (b"y", more, NOON),
         ],
     )
     lake.ingest()
     silver = spark.read.parquet(lake.at("silver"))
-    assert [r.txn_id for r in silver.collect()] == [txn()["txn_id"]]
-    assert spark.read.parquet(lake.at("bronze")).count() == 5
+    assert {r.txn_id for r in silver.collect()} == {txn()["txn_id"], "more"} and silver.count() == 2
+    assert spark.read.parquet(lake.at("bronze")).count() == 6
     aside = {r.txn_id: r.violations for r in spark.read.parquet(lake.at("quarantine")).collect()}
     assert aside["naive"] == ["timestamp_without_offset"]
     assert "missing_sender_state" in aside["s"] and "missing_timestamp" in aside["s"]
     assert "wrong_json_type" in aside[None]
     raw = {(r.raw_key, r.raw_value) for r in spark.read.parquet(lake.at("quarantine")).collect()}
     assert ("x", "{broken") in raw
-    assert spark.read.parquet(lake.at("bronze")).filter("size(violations) = 0 AND raw_value IS NOT NULL").isEmpty()
+    grown = spark.read.parquet(lake.at("bronze")).filter("size(violations) = 0 AND raw_value IS NOT NULL").collect()
+    assert [(r.txn_id, r.unknown_fields, r.raw_value.encode()) for r in grown] == [("more", ["channel"], more)]
 
 
 def test_restart_reads_only_what_is_new(spark, lake):

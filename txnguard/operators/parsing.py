@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +34,22 @@ def decode(messages: DataFrame) -> DataFrame:
 
 
 def parse(decoded: DataFrame) -> DataFrame:
-    """JSON to a struct. Missing fields are null, unknown ones dropped, broken text all null."""
+    """JSON to a struct. Missing fields are null, unknown ones left out (``unknown_fields`` names them),
+    broken text all null."""
     options = {"columnNameOfCorruptRecord": _CORRUPT}
     return decoded.withColumn("parsed", F.from_json("json", _WIRE_SCHEMA, options))
 
 
+def unknown_fields(json: str = "json") -> Column:
+    """Names of the fields of a message that the schema does not have, in order; empty for broken text.
+
+    A producer that has been changed ahead of its readers is told by them before its data are lost.
+    """
+    known = F.array(*[F.lit(name) for name in TXN_FIELDS])
+    names = F.array_except(F.json_object_keys(json), known)
+    return F.coalesce(F.array_sort(names), F.array().cast("array<string>"))
+
+
 def flatten(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The payload's own columns, and those of the message in ``keep``; the payload's sender wins over
     the message key.

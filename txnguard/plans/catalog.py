@@ -117,6 +117,21 @@ def json_contract(spark: SparkSession, folder: str) -> DataFrame:
     return contract.violation_counts(contract.with_violations(flat))
 
 
+def unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages by the fields that the schema lacks, of producers that send more than was agreed on."""
+    txns = transactions(spark, folder)
+    value = F.col("value")
+    id_end = F.substring(F.get_json_object("value", "$.txn_id"), -1, 1)
+    sent = (
+        F.when(id_end == "3", F.regexp_replace(value, r"^\{", '{"channel":"app",'))
+        .when(id_end == "7", F.regexp_replace(value, r"^\{", '{"note":{"status":"x"},"channel":null,'))
+        .otherwise(value)
+    )
+    seen = parsing.decode(message_frame(txns, arrival="kafka_timestamp").withColumn("value", sent))
+    names = F.explode(parsing.unknown_fields()).alias("field")
+    return seen.select(names).groupBy("field").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
     dirty = events.with_defects(transactions(spark, folder))
     return contract.violation_counts(contract.with_violations(dirty))
@@ -350,6 +365,7 @@ QUERIES: dict[str, Query] = {
         publish_frame,
         parse_flatten,
         json_contract,
+        unknown_fields,
         contract_violations,
         contract_split,
         txn_lookup,

@@ -299,6 +299,14 @@ _FINAL: dict[str, tuple[list[str], str]] = {
           WHERE amount <= 0 AND right(txn_id, 2) NOT IN ('06', '12'))
         GROUP BY violation""",
     ),
+    "unknown_fields": (
+        ["txn"],
+        """
+        SELECT field, count(*) AS n_rows
+        FROM (SELECT unnest(CASE right(txn_id, 1) WHEN '3' THEN ['channel'] WHEN '7' THEN ['channel', 'note']
+                ELSE [] END) AS field FROM txn)
+        GROUP BY field""",
+    ),
     "contract_violations": (
         ["broken"],
         "SELECT violation, count(*) AS n_rows FROM broken GROUP BY violation",

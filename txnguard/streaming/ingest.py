@@ -19,6 +19,7 @@ BRONZE_TABLE_SCHEMA = T.StructType(
     [
         *BRONZE_SCHEMA.fields,
         T.StructField("violations", T.ArrayType(T.StringType())),
+        T.StructField("unknown_fields", T.ArrayType(T.StringType())),
         T.StructField("raw_key", T.StringType()),
         T.StructField("raw_value", T.StringType()),
         T.StructField("arrival_date", T.DateType()),
@@ -36,22 +37,25 @@ SILVER_SCHEMA = T.StructType(
 def bronze_rows(messages: DataFrame) -> DataFrame:
     """Messages as typed rows with their violations; batch or stream.
 
-    What breaks the contract keeps key and text as sent, to be looked at or sent again.
+    What breaks the contract keeps key and text as sent, to be looked at or sent again. So does what has
+    fields that the schema lacks: it is accepted, and once the schema has them they can be read from here.
     """
     parsed = parsing.with_raw_violations(parsing.parse(parsing.decode(messages)))
     checked = contract.with_violations(parsing.flatten(parsed, keep=("message_key", "json")))
-    broken = F.size("violations") > 0
+    checked = checked.withColumn("unknown_fields", parsing.unknown_fields())
+    odd = (F.size("violations") > 0) | (F.size("unknown_fields") > 0)
     return checked.select(
         *BRONZE_SCHEMA.fieldNames(),
         "violations",
-        F.when(broken, F.col("message_key")).alias("raw_key"),
-        F.when(broken, F.col("json")).alias("raw_value"),
+        "unknown_fields",
+        F.when(odd, F.col("message_key")).alias("raw_key"),
+        F.when(odd, F.col("json")).alias("raw_value"),
         F.to_date("kafka_timestamp").alias("arrival_date"),
     )
 
 
 def silver_rows(bronze: DataFrame) -> DataFrame:
-    kept = contract.accepted(bronze).drop("arrival_date", "raw_key", "raw_value")
+    kept = contract.accepted(bronze).drop("arrival_date", "unknown_fields", "raw_key", "raw_value")
     return kept.withColumn(EVENT_DATE, F.to_date("timestamp"))
 
 
