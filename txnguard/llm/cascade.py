@@ -157,7 +157,8 @@ def judge(pages: DataFrame, rules: list[Rule] | DataFrame, id_col: str = "page_i
     """
     spark = pages.sparkSession
     if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+        listed = [F.struct(*[F.lit(x).alias(c) for c, x in (("verdict", r.verdict), ("host", r.host), ("path", r.path))]) for r in rules]
+        rules = spark.range(1).select(F.inline(F.array(*listed).cast("array<struct<verdict:string,host:string,path:string>>")))
     named = materialise(rules.select("verdict", F.concat("host", "path").alias("key"), F.size(F.split("host", r"\.", -1)).alias("labels"), F.length("path").alias("length")))
     labels, lengths = (sorted(r[0] for r in named.select(c).distinct().collect()) for c in ("labels", "length"))
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
