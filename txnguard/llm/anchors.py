@@ -30,7 +30,7 @@ WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 #: Words per range of hashes, which are compared at a time; the least number of ranges, and the most
 #: partitions that they are dealt to, each partition taking its ranges one after the other.
-PART_WORDS, LEAST_PARTS, MOST_TASKS = 2_000_000, 16, 20_000
+PART_WORDS, LEAST_PARTS, MOST_TASKS = 4_000_000, 32, 20_000
 _LAST = (1 << 63) - 1
 _PACKED = "part bigint, owner bigint, positions binary"
 #: A window: its hash, what decides who is smaller, the text it lies in, its first word there, and the
