@@ -86,26 +86,51 @@ def pairs_of(values: DataFrame, attribute: str) -> DataFrame:
 
 
 _SIZE_NAMES = {DEVICE: "n_devices", STATE: "n_states", PAYEE: "n_payees"}
+_LIST_NAMES = {DEVICE: "devices", STATE: "states"}
 
 
-def value_counts(values: DataFrame) -> DataFrame:
-    """Per sender: transactions, and how many different devices, states and payees."""
-
+def _sizes() -> list[Column]:
     def of(attribute: str) -> Column:
         return F.when((F.col("kind") == attribute) & F.col("value").isNotNull(), F.col("n"))
 
     total = F.sum(F.when(F.col("kind") == DEVICE, F.col("n"))).alias("n_txns")
-    return values.groupBy(SENDER).agg(total, *[F.count(of(a)).alias(name) for a, name in _SIZE_NAMES.items()])
+    return [total, *[F.count(of(a)).alias(name) for a, name in _SIZE_NAMES.items()]]
 
 
-def sender_profile(history: DataFrame) -> DataFrame:
-    """One row per sender: typical spend, and how many transactions, devices, states and payees.
+def value_counts(values: DataFrame) -> DataFrame:
+    """Per sender: transactions, and how many different devices, states and payees."""
+    return values.groupBy(SENDER).agg(*_sizes())
+
+
+def value_pieces(values: DataFrame) -> DataFrame:
+    """Per sender and range of values: ``value_counts``, and the devices and states in order, joined by commas.
 
-    Sizes only, counted from distinct values: no list of a sender's values is built, however many there
-    are. The values themselves are the rows of ``sender_values``.
+    Values are laid out by range, so a sender with very many is spread: what one task sorts is a range, or
+    several that AQE merged up to its advisory size.
     """
+    laid = values.repartitionByRange(SENDER, "kind", "value").withColumn("_part", F.spark_partition_id())
+    joined = "listagg(value, ',') WITHIN GROUP (ORDER BY value) FILTER (WHERE kind = '{}')"
+    lists = [F.expr(joined.format(a)).alias(name) for a, name in _LIST_NAMES.items()]
+    return laid.groupBy(SENDER, "_part").agg(*_sizes(), *lists)
+
+
+def value_lists(values: DataFrame) -> DataFrame:
+    """``value_counts`` with all devices and states of a sender, in order; empty, where all are null.
+
+    One text per range is put behind the next, for a sender in one task: it holds these texts and the result,
+    which has to fit into one value, 2 GB at most. The same values as rows are ``sender_values``.
+    """
+    sizes = [F.sum(name).alias(name) for name in ("n_txns", *_SIZE_NAMES.values())]
+    joined = "coalesce(listagg({0}, ',') WITHIN GROUP (ORDER BY _part), '')"
+    lists = [F.expr(joined.format(name)).alias(name) for name in _LIST_NAMES.values()]
+    return value_pieces(values).groupBy(SENDER).agg(*sizes, *lists)
+
+
+def sender_profile(history: DataFrame) -> DataFrame:
+    """One row per sender: typical spend, how many transactions, devices, states and payees, and which
+    devices and states."""
     values = sender_values(history, list(_SIZE_NAMES))
-    return spend_profile(history).join(value_counts(values), SENDER)
+    return spend_profile(history).join(value_lists(values), SENDER)
 
 
 def spend_profile(history: DataFrame) -> DataFrame:
